@@ -76,6 +76,7 @@ class GapRule:
     series_flag       column of the series' lowest-id window document to show
     head_branch       show the attached row's branch_id, not the missing number's
     columns           output columns in order
+    order             sort keys of the report
     """
 
     columns: tuple[str, ...]
@@ -87,6 +88,7 @@ class GapRule:
     attach: str = "number"
     series_flag: str | None = None
     head_branch: bool = False
+    order: tuple[str, ...] = ("branch_id", "missing_entry_number")
 
 
 @dataclass(frozen=True)
@@ -163,6 +165,7 @@ DOMAINS: tuple[Domain, ...] = (
             ),
             through_midnight=False,
             attach="series",
+            order=("branch_id", "series", "missing_entry_number"),
         ),
         _sale_amounts(),
         QuantityRule(SALE_ITEMS, own=True),
