@@ -37,7 +37,7 @@ def test_a_failing_check_does_not_stop_the_others(spark, sources):
         replace(CHECKS[1], build=failing),
         replace(CHECKS[2], build=failing_late),
         replace(CHECKS[5], build=empty),
-        CHECKS[9],
+        CHECKS[20],
     )
     rows = run_report(spark, sources, AS_OF, checks=checks).collect()
     assert [row.check_title for row in rows] == [check.title for check in checks]
