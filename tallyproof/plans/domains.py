@@ -71,8 +71,8 @@ class GapRule:
     skip_blank        unguarded, an empty number is passed over (else not a number)
     known_anywhere    a number is present if any document ever carried it
                       (else only if one of the window did)
-    attach            head rows shown beside a missing number: every document of the
-                      'series', those with that exact 'number', or 'nothing'
+    attach            head rows shown beside a number missing from the window: every
+                      document of the 'series', or those with that exact 'number'
     series_flag       column of the series' lowest-id window document to show
     head_branch       show the attached row's branch_id, not the missing number's
     columns           output columns in order
@@ -207,7 +207,6 @@ DOMAINS: tuple[Domain, ...] = (
             through_midnight=False,
             guarded=False,
             known_anywhere=True,
-            attach="nothing",
         ),
         _sale_amounts(),
         QuantityRule(PURCHASE_ITEMS, own=False, with_branch=False),
@@ -271,7 +270,6 @@ DOMAINS: tuple[Domain, ...] = (
             guarded=False,
             skip_blank=False,
             known_anywhere=True,
-            attach="nothing",
         ),
         _sale_amounts(
             "header_cut", (*_WHO, "client_name", *_HEADER, *_SALE_SUMS, "id", *_TOTALS)

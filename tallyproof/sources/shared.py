@@ -35,14 +35,13 @@ class Stored:
 def store(frame: DataFrame, **measures: str) -> Stored:
     """Writes `frame` to the shared folder and reads it back.
 
-    For small results that large tables are joined to next: the planner can only
-    estimate their size, the sums in `measures` (name -> SQL, NULL counts as 0) are
-    exact. Being files, the rows also outlive the executors that made them.
+    For results that are used twice, or that a large table is joined to next: the
+    planner can only estimate their size, the sums in `measures` (name -> SQL, NULL
+    counts as 0) are exact. Being files, the rows also outlive the executors.
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     seen = Observation()
-    frame.observe(
-        seen, *[F.expr(f"coalesce(sum({sql}), 0)").alias(name) for name, sql in measures.items()]
-    ).write.parquet(path)
-    return Stored(spark.read.schema(frame.schema).parquet(path), seen.get)
+    sums = [F.expr(f"coalesce(sum({sql}), 0) AS {name}") for name, sql in measures.items()]
+    (frame.observe(seen, *sums) if sums else frame).write.parquet(path)
+    return Stored(spark.read.schema(frame.schema).parquet(path), seen.get if sums else {})
