@@ -73,6 +73,7 @@ class GapRule:
                       (else only if one of the window did)
     attach            head rows shown beside a number missing from the window: every
                       document of the 'series', or those with that exact 'number'
+    head_flag         column of the attached rows to show as well
     series_flag       column of the series' lowest-id window document to show
     head_branch       show the attached row's branch_id, not the missing number's
     columns           output columns in order
@@ -86,6 +87,7 @@ class GapRule:
     skip_blank: bool = True
     known_anywhere: bool = False
     attach: str = "number"
+    head_flag: str | None = None
     series_flag: str | None = None
     head_branch: bool = False
     order: tuple[str, ...] = ("branch_id", "missing_entry_number")
@@ -165,6 +167,7 @@ DOMAINS: tuple[Domain, ...] = (
             ),
             through_midnight=False,
             attach="series",
+            head_flag="is_retail_b2b_bill",
             order=("branch_id", "series", "missing_entry_number"),
         ),
         _sale_amounts(),

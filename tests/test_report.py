@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyproof.plans.checks import CHECKS
+from tallyproof.plans.domains import DOMAINS
 from tallyproof.plans.report import read_report, run_report
 from tallyproof.sources.registry import JdbcSource, ParquetSource, ReadSplit, Registry
 from tallyproof.sources.shared import SETTING, shared_folder, store
@@ -63,7 +64,7 @@ def test_thirty_six_checks_in_order():
     assert [check.key for check in CHECKS[:4]] == ["seq_gap_sale", "dup_sale", "mismatch_sale", "high_qty_sale"]
 
 
-@pytest.mark.parametrize("file_format", ["parquet", "json"])
+@pytest.mark.parametrize("file_format", ["parquet", "json", "csv"])
 def test_written_report_reads_back(spark, sources, tmp_path, file_format):
     checks, path = CHECKS[4:8], str(tmp_path / "report")
     at = datetime(2024, 3, 6, 1, 2, 3)
@@ -133,3 +134,36 @@ def test_checks_agree_on_heads_stored_by_day_and_read_only_that_day(spark, tmp_p
         assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())), check.key
     plan = CHECKS[1].rows(stored, AS_OF)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(entry_day" in plan
+
+
+# Columns beside id, entry_number, entry_date, branch_id and the four amounts.
+HEAD_COLUMNS = {
+    "sale": "billing_on overall_disc customer_id_id is_retail_b2b_bill",
+    "purchase": "overall_disc supplier_id_id",
+    "b2c_sale": "billing_on overall_disc customer_id_id",
+    "sale_return": "billing_on overall_disc customer_id_id is_b2b_bill",
+    "purchase_return": "billing_on supplier_id_id",
+    "expiry_in": "overall_disc customer_id_id",
+    "expiry_out": "billing_on overall_disc supplier_id_id",
+    "transfer_in": "supplier_id_id",
+    "transfer_out": "billing_on overall_disc customer_id_id",
+}
+
+
+class OtherColumns(TestdataSource):
+    """Heads with only the columns their domain has, and some that are of no concern."""
+
+    def _derive(self, name):
+        found = super()._derive(name)
+        for domain in DOMAINS:
+            if name == domain.head:
+                common = "id entry_number entry_date branch_id net_amount gross_total total_gst total_disc"
+                used = f"{common} {HEAD_COLUMNS[domain.slug]}".split()
+                others = ("name", "domain", "series", "number", "first", "g", "c", "o", "client_name")
+                return found.selectExpr(*used, *[f"'x' AS {other}" for other in others])
+        return found
+
+
+@pytest.mark.parametrize("check", CHECKS, ids=lambda check: check.key)
+def test_checks_need_only_the_columns_of_their_domain(spark, check):
+    assert check.rows(OtherColumns(spark, SF), AS_OF).columns == check.rows(TestdataSource(spark, SF), AS_OF).columns
