@@ -15,7 +15,23 @@ CUSTOMER = "database_customer"
 SUPPLIER = "database_supplier"
 SALE_SETTINGS = "database_sale_settings"
 PURCHASE_SETTINGS = "database_purchase_settings"
-PURCHASE_HEAD = "database_purchasehead"
+
+# Every head column some check reads.
+HEAD_COLUMNS = (
+    "id",
+    "entry_number",
+    "entry_date",
+    "branch_id",
+    "billing_on",
+    "net_amount",
+    "gross_total",
+    "total_gst",
+    "total_disc",
+    "overall_disc",
+    "customer_id_id",
+    "supplier_id_id",
+    "is_b2b_bill",
+)
 
 
 @dataclass(frozen=True)
@@ -176,7 +192,7 @@ DOMAINS: tuple[Domain, ...] = (
     Domain(
         "purchase",
         "Database_Purchasehead",
-        PURCHASE_HEAD,
+        "database_purchasehead",
         GapRule(
             ("id", "entry_number", "entry_date", "name", "domain", "missing_entry_number", "branch_id")
         ),

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable
 from dataclasses import dataclass
+from threading import Lock
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallyproof.sources.registry import Source
+
 SETTING = "spark.checkpoint.dir"
 
 
@@ -26,22 +31,46 @@ def shared_folder(spark: SparkSession) -> str:
 
 @dataclass(frozen=True)
 class Stored:
-    """A written frame and the measures taken while it was written."""
+    """A written frame and the aggregates taken while it was written."""
 
     frame: DataFrame
-    measures: dict[str, int]
+    measures: dict[str, int | None]
 
 
 def store(frame: DataFrame, **measures: str) -> Stored:
     """Writes `frame` to the shared folder and reads it back.
 
     For results that are used twice, or that a large table is joined to next: the
-    planner can only estimate their size, the sums in `measures` (name -> SQL, NULL
-    counts as 0) are exact. Being files, the rows also outlive the executors.
+    planner can only estimate their size and range, the `measures` (name -> aggregate
+    in SQL) are exact. Being files, the rows also outlive the executors.
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     seen = Observation()
-    sums = [F.expr(f"coalesce(sum({sql}), 0) AS {name}") for name, sql in measures.items()]
-    (frame.observe(seen, *sums) if sums else frame).write.parquet(path)
-    return Stored(spark.read.schema(frame.schema).parquet(path), seen.get if sums else {})
+    aggregates = [F.expr(f"{sql} AS {name}") for name, sql in measures.items()]
+    (frame.observe(seen, *aggregates) if aggregates else frame).write.parquet(path)
+    return Stored(
+        spark.read.schema(frame.schema).parquet(path), seen.get if aggregates else {}
+    )
+
+
+class SharedReads:
+    """A source for the span of one report: what several checks read is made once."""
+
+    def __init__(self, source: Source):
+        self._source = source
+        self._guard = Lock()
+        self._locks: dict[Hashable, Lock] = {}
+        self._made: dict[Hashable, Any] = {}
+
+    def table(self, name: str) -> DataFrame:
+        return self._source.table(name)
+
+    def once(self, key: Hashable, make: Callable[[], Any]) -> Any:
+        """The result of the first `make` for `key` that did not fail."""
+        with self._guard:
+            lock = self._locks.setdefault(key, Lock())
+        with lock:
+            if key not in self._made:
+                self._made[key] = make()
+            return self._made[key]

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from tallyproof.operators import gaps, spread
+from tallyproof.operators import gaps, quantity, spread
 from tallyproof.session import local_session
 
 AS_OF = date(2024, 3, 6)
@@ -84,6 +84,7 @@ def either_join(request, monkeypatch):
     if request.param == "sliced":
         monkeypatch.setattr(spread, "BROADCAST_BYTES", -1)
         monkeypatch.setattr(gaps, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(quantity, "BROADCAST_BYTES", -1)
     return request.param
 
 

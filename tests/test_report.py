@@ -9,7 +9,7 @@ from tallyproof.plans.checks import CHECKS
 from tallyproof.plans.domains import DOMAINS
 from tallyproof.plans.report import read_report, run_report
 from tallyproof.sources.registry import JdbcSource, ParquetSource, ReadSplit, Registry
-from tallyproof.sources.shared import SETTING, shared_folder, store
+from tallyproof.sources.shared import SETTING, SharedReads, shared_folder, store
 from tallyproof.sources.layout import write_heads
 from tallyproof.sources.testdata import AS_OF, TestdataSource
 
@@ -107,10 +107,37 @@ def test_shared_folder_is_the_named_one(spark):
 
 
 def test_store_measures_what_it_writes(spark):
-    stored = store(spark.range(5), n="1", total="id")
-    assert stored.measures == {"n": 5, "total": 10}
+    stored = store(spark.range(5), n="count(*)", highest="max(id)")
+    assert stored.measures == {"n": 5, "highest": 4}
     assert stored.frame.count() == 5
-    assert store(spark.range(0), n="1").measures == {"n": 0}
+    assert store(spark.range(0), n="count(*)", lowest="min(id)").measures == {"n": 0, "lowest": None}
+
+
+def test_shared_reads_are_made_once_and_again_after_a_failure():
+    shared, made = SharedReads(None), []
+
+    def make(fail=False):
+        made.append(fail)
+        if fail:
+            raise OSError
+        return len(made)
+
+    with pytest.raises(OSError):
+        shared.once("a", lambda: make(fail=True))
+    assert [shared.once("a", make), shared.once("a", make), shared.once("b", make)] == [2, 2, 3]
+
+
+@pytest.mark.parametrize("check", CHECKS, ids=lambda check: check.key)
+def test_checks_agree_on_shared_reads(spark, check, shared):
+    plain = TestdataSource(spark, SF)
+    expected, found = check.rows(plain, AS_OF), check.rows(shared, AS_OF)
+    assert found.columns == expected.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+@pytest.fixture(scope="module")
+def shared(spark):
+    return SharedReads(TestdataSource(spark, SF))
 
 
 class Stored(TestdataSource):
