@@ -6,7 +6,7 @@ import __spark_entry__ as contract
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = contract.own_queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +15,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert QUERIES.keys() == SQL.keys() and len(QUERIES) == 40
+    assert QUERIES.keys() <= SQL.keys() and len(QUERIES) == 40
 
 
 @pytest.mark.parametrize("key", list(QUERIES))
