@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.llm import chat, merkle, sentence_pieces, token_counts
+from tallyproof.llm import chat, merkle, quality, sentence_pieces, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,17 +38,29 @@ def op4_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_with_next(_documents(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.classify(_documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path(BYTE_PAIRS))
     return found.drop("text")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.classify(_documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_merkle_fingerprint": op4_merkle_fingerprint,
+        "op6_toxicity": op6_toxicity,
         "op9_token_count": op9_token_count,
+        "op10_quality": op10_quality,
     }
 
 
