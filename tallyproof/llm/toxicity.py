@@ -2,9 +2,9 @@
 
 A token is a lower-cased word; it is looked up whole and by its first 4, 5 and 6 code
 points, as many languages inflect. Each of these falls into a fixed number of buckets by
-hash. A bucket's weight is the log-odds ratio of toxic against other texts, with the whole
-sample's counts as a Dirichlet prior; weights that are not significant are 0, and of a
-word's weights the highest counts. Less a constant, token scores are negative on average,
+hash. A bucket's weight is the log-odds ratio of toxic against other texts that have it,
+with the whole sample's counts as a Dirichlet prior; weights that are not significantly
+positive are 0, and of a word's weights the highest counts. Less a constant, token scores are negative on average,
 and the linear-time scan of Ruzzo and Tompa finds all maximal segments of positive score:
 the toxic passages.
 
@@ -34,10 +34,10 @@ from tallyproof.llm.labelled import CALIBRATION_FOLDS, Isotonic, held_out, label
 from tallyproof.llm.stored import store
 
 STEMS = (4, 5, 6)  # code points; fewer than that are the whole word
-BUCKETS = 1 << 17  # for words, and again for each length of stem
-_ALL = BUCKETS * (1 + len(STEMS))
-PRIOR = 500.0  # tokens the prior is worth
-SIGNIFICANT = 3.5  # standard errors
+BUCKETS = 1 << 20  # for words, and again for each length of stem
+PRIOR = 500.0  # occurrences the prior is worth, spread as in the sample
+FLAT_PRIOR = 1.0  # and occurrences it adds to every bucket
+SIGNIFICANT = 4.0  # standard errors
 DRIFT = 0.25
 THRESHOLD = 0.7
 _MOST = 200.0
@@ -58,20 +58,20 @@ def tokens(column: pa.Array) -> tuple[Words, np.ndarray]:
     return w, np.stack(found)
 
 
-def log_odds(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Log-odds ratio of each bucket with a Dirichlet prior, 0 where not significant."""
-    both = toxic + other
-    prior = PRIOR * (both + 1e-3) / (both.sum() + 1e-3 * len(both))
-    a, b = toxic + prior, other + prior
-    ratio = np.log(a / (toxic.sum() + PRIOR - a)) - np.log(b / (other.sum() + PRIOR - b))
-    error = np.sqrt(1 / a + 1 / b)
-    return np.where(np.abs(ratio) >= SIGNIFICANT * error, ratio, 0.0)
+def log_odds(counts: DataFrame) -> DataFrame:
+    """(bucket, weight) of the significant buckets of (bucket, toxic, other) counts.
 
-
-def weights(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """log_odds of words and of each length of stem."""
-    kinds = zip(toxic.reshape(-1, BUCKETS), other.reshape(-1, BUCKETS), strict=True)
-    return np.concatenate([log_odds(a, b) for a, b in kinds])
+    Words and each length of stem are distributions of their own."""
+    kinds = counts.withColumn("kind", F.floor(F.col("bucket") / BUCKETS))
+    total = kinds.groupBy("kind").agg(F.sum("toxic").alias("all_toxic"), F.sum("other").alias("all_other"))
+    found = (
+        kinds.join(F.broadcast(total), "kind")  # a row for each kind
+        .withColumn("prior", PRIOR * F.expr("(toxic + other) / (all_toxic + all_other)") + FLAT_PRIOR)
+        .withColumn("a", F.expr("toxic + prior"))
+        .withColumn("b", F.expr("other + prior"))
+        .withColumn("weight", F.expr(f"ln(a / (all_toxic + {PRIOR} - a)) - ln(b / (all_other + {PRIOR} - b))"))
+    )
+    return found.filter(F.expr(f"weight >= {SIGNIFICANT} * sqrt(1 / a + 1 / b)")).select("bucket", "weight")
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -108,13 +108,17 @@ def _merged(starts: list, ends: list, lefts: list, rights: list) -> list[tuple[i
 
 @dataclass
 class Model:
+    buckets: np.ndarray  # sorted, with the weight of each
     weights: np.ndarray
     rate: float = 1.0  # lambda
     factor: float = 1.0  # K
     calibrated: Isotonic | None = None
 
     def scored(self, buckets: np.ndarray) -> np.ndarray:
-        return self.weights[buckets].max(axis=0) - DRIFT
+        if not len(self.buckets):
+            return np.full(buckets.shape[1], -DRIFT)
+        at = np.minimum(np.searchsorted(self.buckets, buckets), len(self.buckets) - 1)
+        return np.where(self.buckets[at] == buckets, self.weights[at], 0.0).max(axis=0) - DRIFT
 
     def passages(self, column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
         """Number of tokens and maximal segments of each text."""
@@ -154,6 +158,15 @@ def _segments(scores: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, list
         yield size, [(s - int(first[i]), e - int(first[i]), x) for s, e, x in found]
 
 
+def _lowest(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The lowest hash of each text, 0 for one without words."""
+    lows = np.zeros(len(first) - 1, np.int64)
+    filled = first[:-1] < first[1:]
+    if filled.any():
+        lows[filled] = np.minimum.reduceat(hashes, first[:-1][filled]).view(np.int64)
+    return lows
+
+
 def _rate(scores: np.ndarray, shares: np.ndarray) -> float:
     """The positive solution of sum(shares * exp(rate * scores)) = 1."""
     low, high = 1e-6, 1.0
@@ -173,25 +186,40 @@ def fit(rows: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     sample = store(labelled_rows(rows, labels, label, key))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, _ALL), np.int64)
         for piece in pieces(batches):
             w, buckets = tokens(piece.column(0))
-            toxic = piece.column(1).to_numpy()[w.row()] > 0
-            total[0] += np.bincount(buckets[:, toxic].ravel(), minlength=_ALL)
-            total[1] += np.bincount(buckets[:, ~toxic].ravel(), minlength=_ALL)
-        some = np.flatnonzero(total.sum(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some), pa.array(total[0][some]), pa.array(total[1][some])], names=["bucket", "toxic", "other"]
-        )
-
-    learnt = sample.filter(F.col("fold") >= CALIBRATION_FOLDS)
+            # Each text counts once for a bucket, however often it repeats a word.
+            keys = np.unique((w.row()[None, :] << 40 | buckets).ravel())
+            buckets, toxic = keys & ((1 << 40) - 1), piece.column(1).to_numpy()[keys >> 40] > 0
+            some, place = np.unique(buckets, return_inverse=True)
+            hits = np.bincount(place[toxic], minlength=len(some))
+            rest = np.bincount(place[~toxic], minlength=len(some))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some), pa.array(hits), pa.array(rest)], names=["bucket", "toxic", "other"]
+            )
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            w = words(piece.column(0), ALPHANUMERIC, lower=True)
+            lows = [_lowest(w.hashes(which), w.first) for which in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [*piece.columns, *map(pa.array, lows)], names=["text", "label", "low0", "low1"]
+            )
+
+    # Near copies would make all their words look significant: of texts with the same
+    # label and the same two lowest word hashes one is counted.
+    learnt = (
+        sample.filter(F.col("fold") >= CALIBRATION_FOLDS).select("text", "label")
+        .mapInArrow(sketched, "text string, label int, low0 bigint, low1 bigint")
+        .groupBy("label", "low0", "low1").agg(F.min("text").alias("text"))
+        .select("text", "label")
+    )
     counts = learnt.mapInArrow(counted, "bucket bigint, toxic bigint, other bigint")
-    found = counts.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toPandas()
-    if not len(found):
+    counts = store(counts.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
+    if counts.isEmpty():
         return None
-    total = np.zeros((2, _ALL))
-    total[:, found["bucket"]] = found[["toxic", "other"]].to_numpy().T
-    model = Model(weights(total[0], total[1]))
+    found = log_odds(counts).orderBy("bucket").toPandas()
+    model = Model(found["bucket"].to_numpy(np.int64), found["weight"].to_numpy(float))
     unseen = sample.filter(F.col("fold") < CALIBRATION_FOLDS)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
