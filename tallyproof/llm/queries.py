@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.llm import chat, merkle, quality, sentence_pieces, token_counts, toxicity
+from tallyproof.llm import chat, merkle, quality, sentence_pieces, substring_dedup, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chats)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_substrings(_documents(spark, sf_dir), digests=True)
+    return found.withColumnRenamed("kept", "kept_sha256")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sentence_pieces.encode_digests(_documents(spark, sf_dir), public_tokenizers.path(PIECES))
     return found.drop("text")
@@ -56,6 +61,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_merkle_fingerprint": op4_merkle_fingerprint,
         "op6_toxicity": op6_toxicity,
