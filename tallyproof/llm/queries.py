@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyproof.llm import chat, merkle, quality, sentence_pieces, substring_dedup, token_counts, toxicity
+from tallyproof.llm import chat, merkle, quality, secrets, sentence_pieces, substring_dedup, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +49,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(_documents(spark, sf_dir, "doc_id", "text", "source", "lang"))
+    counts = [secrets.count_of("base", kind).cast("bigint").alias(f"n_{kind}") for kind in secrets.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.named("base"), 256).alias("base_sha256"), secrets.named("spans").alias("spans")
+    )
+
+
 def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path(BYTE_PAIRS))
     return found.drop("text")
@@ -65,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op3_sentencepiece": op3_sentencepiece,
         "op4_merkle_fingerprint": op4_merkle_fingerprint,
         "op6_toxicity": op6_toxicity,
+        "op8_secrets": op8_secrets,
         "op9_token_count": op9_token_count,
         "op10_quality": op10_quality,
     }
