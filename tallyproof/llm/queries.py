@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm import chat, merkle, quality, secrets, sentence_pieces, substring_dedup, token_counts, toxicity
+from tallyproof.llm import chat, decontaminate, merkle, quality, secrets, sentence_pieces, substring_dedup, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return decontaminate.decontaminate(_documents(spark, sf_dir), items).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(_documents(spark, sf_dir, "doc_id", "text", "source", "lang"))
     counts = [secrets.count_of("base", kind).cast("bigint").alias(f"n_{kind}") for kind in secrets.KINDS]
@@ -74,6 +82,7 @@ def queries() -> dict[str, Query]:
         "op3_sentencepiece": op3_sentencepiece,
         "op4_merkle_fingerprint": op4_merkle_fingerprint,
         "op6_toxicity": op6_toxicity,
+        "op7_decontaminate": op7_decontaminate,
         "op8_secrets": op8_secrets,
         "op9_token_count": op9_token_count,
         "op10_quality": op10_quality,
