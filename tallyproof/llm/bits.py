@@ -20,40 +20,48 @@ from tallyproof.llm.columns import mix
 _SEGMENT = 1 << 19  # bits set together by one task: 64 KB
 
 
-def hash_bits(hashes: DataFrame, name: str, size: int = 27) -> Broadcast:
-    """2 ** size bits with one set for each hash in column `name`, for all tasks.
+def _places(values: np.ndarray, size: int, probes: int) -> np.ndarray:
+    """`probes` bits for each hash, one row for each probe."""
+    first = mix(values.view(np.uint64))
+    step = mix(first) | np.uint64(1)
+    bits = [first + np.uint64(i) * step for i in range(probes)]
+    return np.stack(bits) & np.uint64(size - 1)
+
+
+def hash_bits(hashes: DataFrame, name: str, size: int = 27, probes: int = 1) -> Broadcast:
+    """2 ** size bits with `probes` set for each hash in column `name`, for all tasks.
 
     Every task sets the bits of its segments, so only finished segments are sent."""
     segments = (1 << size) // _SEGMENT
 
-    def at(values: np.ndarray) -> np.ndarray:
-        return mix(values.view(np.uint64)) & np.uint64((1 << size) - 1)
-
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bit = at(batch.column(0).to_numpy()).astype(np.int64)
+            bit = _places(batch.column(0).to_numpy(), 1 << size, probes).ravel().astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bit // _SEGMENT), pa.array(bit % _SEGMENT)], names=["segment", "bit"]
+                [pa.array((bit // _SEGMENT).astype(np.int32)), pa.array((bit % _SEGMENT).astype(np.int32))],
+                names=["segment", "bit"],
             )
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, np.ndarray] = {}
         for batch in batches:
             segment, bit = (c.to_numpy() for c in batch.columns)
-            for s in np.unique(segment).tolist():
-                bits = found.setdefault(s, np.zeros(_SEGMENT // 8, np.uint8))
-                own = bit[segment == s]
-                np.bitwise_or.at(bits, own >> 3, (1 << (own & 7)).astype(np.uint8))
+            order = np.argsort(segment, kind="stable")
+            segment, bit = segment[order], bit[order]
+            starts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1]))) if len(batch) else []
+            for a, b in zip(starts, [*starts[1:], len(bit)], strict=True):
+                bits = found.setdefault(int(segment[a]), np.zeros(_SEGMENT // 8, np.uint8))
+                np.bitwise_or.at(bits, bit[a:b] >> 3, (1 << (bit[a:b] & 7)).astype(np.uint8))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.int64()), pa.array([x.tobytes() for x in found.values()], pa.binary())],
+            [pa.array(list(found), pa.int32()), pa.array([x.tobytes() for x in found.values()], pa.binary())],
             names=["segment", "bits"],
         )
 
     bits = (
         hashes.select(F.col(name).alias("hash")).filter("hash IS NOT NULL")
-        .mapInArrow(placed, "segment bigint, bit bigint")
+        .mapInArrow(placed, "segment int, bit int")
         .repartition(min(segments, 16), "segment")
-        .mapInArrow(filled, "segment bigint, bits binary")
+        .mapInArrow(filled, "segment int, bits binary")
     )
     whole = np.zeros((segments, _SEGMENT // 8), np.uint8)
     for row in bits.collect():
@@ -61,6 +69,8 @@ def hash_bits(hashes: DataFrame, name: str, size: int = 27) -> Broadcast:
     return hashes.sparkSession.sparkContext.broadcast(whole.ravel())
 
 
-def contains(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = mix(hashes) & np.uint64(len(bits) * 8 - 1)
-    return (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+def contains(bits: np.ndarray, hashes: np.ndarray, probes: int = 1) -> np.ndarray:
+    found = np.ones(len(hashes), bool)
+    for bit in _places(hashes, len(bits) * 8, probes):
+        found &= (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return found

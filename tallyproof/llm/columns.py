@@ -94,7 +94,7 @@ def _power(base: int, n: int) -> np.ndarray:
         known = np.full(n + 1, base, np.uint64)
         known[0] = 1
         known = np.cumprod(known, dtype=np.uint64)
-        if n <= 4 * PIECE_BYTES:  # what a single long text needs is not kept
+        if n <= 2 * PIECE_BYTES:  # what a single long text needs is not kept
             _powers[base] = known
     return known[: n + 1]
 
@@ -168,3 +168,21 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     heads = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=heads[1:])
     return heads[offsets[1:]] - heads[offsets[:-1]]
+
+
+def tally(hashes: Iterator[np.ndarray], name: str, together: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """(name, n): hashes with their number, summed up over about `together` of them."""
+    waiting, size = [], 0
+
+    def counted() -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(waiting), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], names=[name, "n"])
+
+    for some in hashes:
+        waiting.append(some)
+        size += len(some)
+        if size >= together:
+            yield counted()
+            waiting, size = [], 0
+    if size:
+        yield counted()

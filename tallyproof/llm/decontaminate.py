@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyproof.llm.bits import contains, hash_bits
-from tallyproof.llm.columns import ALPHANUMERIC, Words, pieces, ragged, windows, words
+from tallyproof.llm.columns import ALPHANUMERIC, Words, pieces, ragged, tally, windows, words
 from tallyproof.llm.stored import store
 
 WINDOW = 10
@@ -89,10 +89,8 @@ def term_counts(rows: DataFrame, bits: Broadcast) -> DataFrame:
     """(term, n) for all words of `rows` (text) that may be terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, limit=4 << 20):
-            hashes = _words(piece.column(0)).hashes(0)
-            terms, counts = np.unique(hashes[contains(bits.value, hashes)], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], names=["term", "n"])
+        found = (_words(piece.column(0)).hashes(0) for piece in pieces(batches))
+        return tally((hashes[contains(bits.value, hashes)] for hashes in found), "term")
 
     return rows.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm import chat, decontaminate, merkle, quality, secrets, sentence_pieces, substring_dedup, token_counts, toxicity
+from tallyproof.llm import chat, decontaminate, merkle, ngram_join, quality, secrets, sentence_pieces, substring_dedup, token_counts, toxicity
+from tallyproof.llm.stored import long_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +18,7 @@ BYTE_PAIRS = "byte_bpe_50k.json"
 
 
 def _documents(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(names or ("doc_id", "text")))
+    return long_texts(spark).read.parquet(f"{sf_dir}/documents.parquet").select(*(names or ("doc_id", "text")))
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +45,10 @@ def op4_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_with_next(_documents(spark, sf_dir))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_documents(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.classify(_documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted")
@@ -81,6 +86,7 @@ def queries() -> dict[str, Query]:
         "op2_substring_dedup": op2_substring_dedup,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_merkle_fingerprint": op4_merkle_fingerprint,
+        "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_toxicity": op6_toxicity,
         "op7_decontaminate": op7_decontaminate,
         "op8_secrets": op8_secrets,

@@ -19,3 +19,9 @@ def store(frame: DataFrame) -> DataFrame:
     path = f"{shared_folder(frame.sparkSession)}/{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def long_texts(spark: SparkSession) -> SparkSession:
+    """Has Arrow batches hold fewer rows: of long texts the usual number fills gigabytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
