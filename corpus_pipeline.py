@@ -1,20 +1,95 @@
-"""The training-data pipeline: documents through filters and edits, stage by stage."""
+"""The training-data pipeline: documents through filters and edits, stage by stage.
+
+1. quality: documents the classifier rejects go. It learns from the labels of documents
+   that are not held out and judges all it is given.
+2. near_duplicates: of each component of similar documents the one with the lowest id
+   stays (of rows with that id: the one with the least text). Documents without words are
+   similar to nothing and stay; so do rows without an id.
+3. decontamination: documents with an occurrence of a benchmark window go.
+4. secrets: live secrets are masked; strings that many owners have stay. No row goes.
+5. sentencepiece: the documents' ids, with begin and end, and the text decoded from them.
+
+All but the last return the columns of `documents`; n_chars follows an edited text.
+"""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyproof.llm import decontaminate, ngram_join, quality, secrets, sentence_pieces
+from tallyproof.llm.queries import PIECES
+from tallyproof.llm.stored import long_texts, shared_folder, store
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = long_texts(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    # Columns the classifier would replace step aside.
+    aside = {name: f"_own_{name}" for name in ("held_out", "score", "predicted") if name in docs.columns}
+    judged = quality.classify(docs.withColumnsRenamed(aside), labels)
+    kept = judged.filter("predicted = 1").drop("held_out", "score", "predicted")
+    return kept.withColumnsRenamed({new: old for old, new in aside.items()}).select(*map(_named, docs.columns))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    long_texts(spark)
+    found = store(ngram_join.jaccard_components(docs))
+    gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*map(_named, docs.columns))
+    known = found.filter("doc_id = component_id AND n_shingles > 0")
+    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    # Rows that share an id are one document: of those the one with the least text stays.
+    shared = F.col("doc_id").isNotNull() & (F.length("text") > 0)
+    row = F.min_by(F.struct(*map(_named, docs.columns)), "text").alias("row")
+    once = kept.filter(shared).groupBy("doc_id").agg(row).select("row.*")
+    return kept.filter(~F.coalesce(shared, F.lit(False))).unionByName(once)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    items = long_texts(spark).read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return decontaminate.clean_rows(docs, items)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    long_texts(spark)
+    masked = secrets.mask_live(docs)
+    if "n_chars" not in docs.columns:
+        return masked
+    return masked.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+
+
+def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    long_texts(spark)
+    found = sentence_pieces.encode(docs, public_tokenizers.path(PIECES))
+    return found.withColumn("n_tokens", F.size("ids").cast("bigint")).drop("text")
+
+
+def _named(name: str):
+    return F.col(f"`{name}`")
+
 
-from tallyproof.llm.stored import shared_folder
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secret_stage),
+    ("sentencepiece", sentencepiece_stage),
+]
 
-STAGES = []
+# Neither the classifier nor the tokenizer can be written in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages one after another; each one's rows are written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = long_texts(spark).read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")

@@ -160,7 +160,7 @@ def near(index: DataFrame, term: int, other: int, distance: int) -> DataFrame:
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text, found) to (id, n_words, n_hit, items)."""
+    """(id, text, found, more columns) to (id, n_words, n_hit, items, more columns)."""
     for piece in pieces(batches):
         w = _words(piece.column(1))
         n = np.diff(w.first)
@@ -193,8 +193,8 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = np.concatenate(([0], np.cumsum(np.cumsum(change[:-1]) > 0)))[w.first]
         yield pa.RecordBatch.from_arrays(
             [piece.column(0), pa.array(n), pa.array(np.diff(hit)),
-             pa.array([sorted(set(x)) for x in items], pa.list_(pa.string()))],
-            names=["id", "n_words", "n_hit", "items"],
+             pa.array([sorted(set(x)) for x in items], pa.list_(pa.string())), *piece.columns[3:]],
+            names=["id", "n_words", "n_hit", "items", *piece.schema.names[3:]],
         )
 
 
@@ -208,7 +208,29 @@ def decontaminate(
 ) -> DataFrame:
     """key, n_words, n_hit (words inside occurrences) and items (sorted ids as strings of
     those that occur) for each row."""
-    texts = rows.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    found = _found(rows, items, [], key, text, item_key, item_text)
+    return found.withColumnRenamed("id", key)
+
+
+def clean_rows(
+    rows: DataFrame,
+    items: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """The rows without any occurrence, as they are."""
+    found = _found(rows, items, rows.columns, key, text, item_key, item_text).filter("n_hit = 0")
+    return found.select(*[F.col(f"_{i}").alias(name) for i, name in enumerate(rows.columns)])
+
+
+def _found(rows, items, more: list[str], key, text, item_key, item_text) -> DataFrame:
+    """What decontaminate returns, and the columns `more` as _0, _1, .."""
+    texts = rows.select(
+        F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"),
+        *[F.col(f"`{name}`").alias(f"_{i}") for i, name in enumerate(more)],
+    )
     wanted = store(phrases(items, item_key, item_text))
     known = texts.filter("id IS NOT NULL")
     terms = wanted.select(F.explode("terms").alias("term")).distinct()
@@ -220,9 +242,7 @@ def decontaminate(
     listed = found.groupBy("id").agg(
         F.collect_list(F.struct("size", "first", "second", "starts", "items")).alias("found")
     )
-    kind = dict(texts.dtypes)["id"]
-    return (
-        texts.join(listed, "id", "left").select("id", "text", "found")
-        .mapInArrow(_verified, f"id {kind}, n_words bigint, n_hit bigint, items array<string>")
-        .withColumnRenamed("id", key)
-    )
+    joined = texts.join(listed, "id", "left").select("id", "text", "found", *texts.columns[2:])
+    kind, _, *others = [f"{f.name} {f.dataType.simpleString()}" for f in texts.schema]
+    schema = ", ".join([kind, "n_words bigint, n_hit bigint, items array<string>", *others])
+    return joined.mapInArrow(_verified, schema)
