@@ -1,0 +1,141 @@
+"""Substring dedup and the n-gram join against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+
+from tallyproof.llm import ngram_join, substring_dedup
+from tallyproof.llm.components import components
+from tests.llm.samples import corpus
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def left_after_dedup(rows):
+    """doc_id -> (n_words, n_removed, kept) by looking at all windows."""
+    lowest, found = {}, {}
+    words = {i: WORD.findall(text or "") for i, text in rows}
+    for i in sorted(words):
+        for j in range(len(words[i]) - 12):
+            lowest.setdefault(tuple(words[i][j : j + 13]), i)
+    for i, own in words.items():
+        kept = [True] * len(own)
+        for j in range(len(own) - 12):
+            if lowest[tuple(own[j : j + 13])] < i:
+                kept[j : j + 13] = [False] * 13
+        found[i] = (len(own), kept.count(False), " ".join(w for w, k in zip(own, kept) if k))
+    return found
+
+
+def classes(rows, percent=85):
+    """doc_id -> (n_shingles, component_id) by comparing all pairs."""
+    sets = {}
+    for i, text in rows:
+        w = WORD.findall(lower(text))
+        n = min(4, len(w))
+        sets[i] = {tuple(w[j : j + n]) for j in range(len(w) - n + 1)} if w else set()
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for x, i in enumerate(ids):
+        for j in ids[x + 1 :]:
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("hot", [False, True])
+def test_dedup_equals_all_windows(documents, monkeypatch, seed, hot):
+    if hot:
+        monkeypatch.setattr(substring_dedup, "HOT_ROWS", 3)
+    rows = corpus(seed)
+    got = substring_dedup.dedup_substrings(documents(rows)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == left_after_dedup(rows)
+
+
+def test_dedup_compares_across_batches(documents, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "_TOGETHER", 1)
+    rows = corpus(5)
+    got = substring_dedup.dedup_substrings(documents(rows)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == left_after_dedup(rows)
+
+
+@pytest.mark.parametrize("seed", [3, 4, 6])
+def test_components_equal_all_pairs(documents, seed):
+    rows = corpus(seed, 220, 60 if seed == 6 else 400)
+    got = ngram_join.jaccard_components(documents(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == classes(rows)
+
+
+def test_no_link_is_lost_at_the_border(documents):
+    # Sets of 40 shingles (43 words); each changed word at the end costs one shingle.
+    base = [f"w{i}" for i in range(43)]
+    rows = [(1, " ".join(base))]
+    for n in range(1, 8):
+        rows.append((10 + n, " ".join(base[: 43 - n] + [f"x{n}_{i}" for i in range(n)])))
+        rows.append((30 + n, " ".join(base[n:])))
+    got = ngram_join.jaccard_components(documents(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == classes(rows)
+
+
+def test_band_plan_tolerates_every_difference():
+    like = ngram_join.Likeness()
+    bands = ngram_join.plan(like, 3000)
+    for small in range(1, 2500):
+        for large in {small, small + 1, 100 * small // 85}:
+            if 100 * small < 85 * large:
+                continue
+            shared = [b for b in bands if b.low <= small and large <= b.high and small <= b.high]
+            assert any(b.needed > like.difference(small + large) for b in shared), (small, large)
+
+
+def test_components_of_chains_and_stars(spark):
+    rows = [(i, i + 1) for i in range(1, 60)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (200, 201)]
+    found = {r.id: r.component for r in components(spark.createDataFrame(rows, "a bigint, b bigint")).collect()}
+    assert found == {
+        **{i: 1 for i in range(1, 61)}, **{i: 100 for i in range(100, 140)}, 200: 200, 201: 200,
+    }
+
+
+def test_odd_rows(extra, odd):
+    for rows in (odd, extra):
+        got = substring_dedup.dedup_substrings(rows).collect()
+        assert len(got) == 14
+        by_id = {}
+        for r in got:
+            by_id.setdefault(r.doc_id, []).append(r)
+        assert by_id[1][0].n_words == 0 and by_id[1][0].kept == ""
+        assert by_id[5][0].n_removed == 0 and by_id[6][0].n_removed == 100_000 and by_id[6][0].kept == ""
+        # Rows of the same id are not smaller than each other; the copy with a greater id goes.
+        assert [r.n_removed for r in by_id[8]] == [0, 0, 0] and by_id[10][0].n_removed == 28
+        assert [r.n_removed for r in by_id[None]] == [0, 0]
+        got = ngram_join.jaccard_components(rows).collect()
+        assert len(got) == 14
+        found = {(r.doc_id, r.n_shingles): r.component_id for r in got}
+        assert found[(1, 0)] == 1 and found[(4, 1)] == 4 and found[(6, 5)] == 5 and found[(7, 1)] == 7
+        assert found[(10, 7)] == 8 and found[(8, 7)] == 8 and {r.component_id for r in got if r.doc_id is None} == {None}
+
+
+def test_empty_table(documents):
+    assert substring_dedup.dedup_substrings(documents([])).collect() == []
+    assert ngram_join.jaccard_components(documents([])).collect() == []
+
+
+def test_digest_is_of_the_kept_words(documents):
+    row = substring_dedup.dedup_substrings(documents([(1, "a\n b  c")]), digests=True).first()
+    assert row.kept == hashlib.sha256(b"a b c").hexdigest()
