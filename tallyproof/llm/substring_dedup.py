@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyproof.llm.bits import contains, hash_bits
-from tallyproof.llm.columns import pieces, ragged, window_starts, windows, words
+from tallyproof.llm.columns import pieces, ragged, tally, window_starts, windows, words
 from tallyproof.llm.stored import store
 
 WINDOW = 13
@@ -72,11 +72,7 @@ def _seeds(column: pa.Array):
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in pieces(batches, limit=4 << 20):
-        seeds, counts = np.unique(_seeds(piece.column(0))[3], return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seeds.view(np.int64)), pa.array(counts)], names=["seed", "n"]
-        )
+    return tally((_seeds(piece.column(0))[3] for piece in pieces(batches)), "seed")
 
 
 def _runs(texts: DataFrame, bits, hot, want_hot: bool) -> DataFrame:
