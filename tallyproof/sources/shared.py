@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from threading import Lock
 from typing import Any
@@ -15,18 +15,36 @@ from pyspark.sql import functions as F
 from tallyproof.sources.registry import Source
 
 SETTING = "spark.checkpoint.dir"
+_RUN = "tallyproof.run_folder"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names. Only a session on one machine may go without."""
+    """The folder the session names, or one in its warehouse, which is shared as well."""
     named = spark.conf.get(SETTING, None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{SETTING} is not set")
-    folder = tempfile.mkdtemp(prefix="tallyproof-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, whatever file system it is on."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[str]:
+    """A folder for what is stored by this thread (and those that inherit its properties)
+    until the end of the block, when it is removed.
+
+    A check's DataFrame reads what was stored when it was built, so use it up inside."""
+    context = spark.sparkContext
+    outer = context.getLocalProperty(_RUN)
+    path = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    context.setLocalProperty(_RUN, path)
+    try:
+        yield path
+    finally:
+        context.setLocalProperty(_RUN, outer)
+        remove(spark, path)
 
 
 @dataclass(frozen=True)
@@ -34,7 +52,7 @@ class Stored:
     """A written frame and the aggregates taken while it was written."""
 
     frame: DataFrame
-    measures: dict[str, int | None]
+    measures: dict[str, Any]
 
 
 def store(frame: DataFrame, **measures: str) -> Stored:
@@ -42,10 +60,12 @@ def store(frame: DataFrame, **measures: str) -> Stored:
 
     For results that are used twice, or that a large table is joined to next: the
     planner can only estimate their size and range, the `measures` (name -> aggregate
-    in SQL) are exact. Being files, the rows also outlive the executors.
+    in SQL) are exact. Being files, the rows also outlive the executors. Within
+    `intermediates` they go with its folder, else they stay.
     """
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    folder = spark.sparkContext.getLocalProperty(_RUN) or shared_folder(spark)
+    path = f"{folder}/{uuid.uuid4().hex}"
     seen = Observation()
     aggregates = [F.expr(f"{sql} AS {name}") for name, sql in measures.items()]
     (frame.observe(seen, *aggregates) if aggregates else frame).write.parquet(path)

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from tallyproof.operators import gaps, quantity, spread
+from tallyproof.operators import gaps, mismatch, quantity, spread
 from tallyproof.session import local_session
 
 AS_OF = date(2024, 3, 6)
@@ -83,6 +83,8 @@ def either_join(request, monkeypatch):
     """Runs a test with measured sides broadcast, and again with both sides shuffled."""
     if request.param == "sliced":
         monkeypatch.setattr(spread, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(spread, "HOT_ROWS", 3)
+        monkeypatch.setattr(mismatch, "BROADCAST_BYTES", -1)
         monkeypatch.setattr(gaps, "BROADCAST_BYTES", -1)
         monkeypatch.setattr(quantity, "BROADCAST_BYTES", -1)
     return request.param

@@ -1,15 +1,18 @@
 import json
+import os
 from dataclasses import replace
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyproof.plans.checks import CHECKS
 from tallyproof.plans.domains import DOMAINS
+from tallyproof.plans import report
 from tallyproof.plans.report import read_report, run_report
 from tallyproof.sources.registry import JdbcSource, ParquetSource, ReadSplit, Registry
-from tallyproof.sources.shared import SETTING, SharedReads, shared_folder, store
+from tallyproof.sources.shared import SETTING, SharedReads, intermediates, shared_folder, store
 from tallyproof.sources.layout import write_heads
 from tallyproof.sources.testdata import AS_OF, TestdataSource
 
@@ -97,6 +100,92 @@ def test_jdbc_reads_split_tables_in_parallel(spark):
     assert "numPartitions" not in source.read_options("database_branch")
 
 
+def test_jdbc_conditions_are_the_databases_work_and_large_tables_need_a_split(spark):
+    split = ReadSplit("id", 1, 900, 9)
+    source = JdbcSource(spark, "jdbc:x", splits={"database_saleitem": split}, where={"database_saleitem": "id > 5"})
+    assert source.read_options("database_saleitem")["dbtable"] == "(SELECT * FROM database_saleitem WHERE id > 5) AS t"
+    with pytest.raises(ValueError, match="one task"):
+        source.read_options("database_salehead")
+
+
+def test_a_section_that_fails_keeps_no_rows_of_an_earlier_run(spark, sources, tmp_path):
+    check, path = CHECKS[20], str(tmp_path)
+    assert run_report(spark, sources, AS_OF, path, checks=(check,)).first().status == "ROWS"
+    assert read_report(spark, path).count() > 0
+    for build, status in ((failing, "ERROR"), (empty, "EMPTY")):
+        run_report(spark, sources, AS_OF, path, checks=(check, CHECKS[2]))
+        again = run_report(spark, sources, AS_OF, path, checks=(replace(check, build=build),))
+        assert again.first().status == status
+        left = read_report(spark, path).filter(F.col("check_title") == check.title)
+        assert left.filter(F.col("sheet") == check.sheet).count() == 0
+
+
+def test_a_report_leaves_nothing_in_the_shared_folder(spark, sources):
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    checks = (replace(CHECKS[1], build=failing), *CHECKS[0:4])
+    assert run_report(spark, sources, AS_OF, checks=checks).count() == 5
+    assert set(os.listdir(folder)) == before
+
+
+def test_stored_tables_go_with_their_block(spark):
+    with intermediates(spark) as folder:
+        assert store(spark.range(3)).frame.count() == 3 and len(os.listdir(folder)) == 1
+    assert not os.path.exists(folder)
+
+
+def test_without_a_named_folder_the_warehouse_is_used():
+    settings = {"spark.sql.warehouse.dir": "s3a://shared/warehouse"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: settings.get(key, *default)))
+    assert shared_folder(session) == "s3a://shared/warehouse/_intermediate"
+
+
+def test_the_date_is_taken_once_and_the_stamp_once_per_sheet(spark, sources, tmp_path, monkeypatch):
+    asked = []
+    monkeypatch.setattr(report, "report_date", lambda *_: asked.append(1) or AS_OF)
+    path = str(tmp_path)
+    run_report(spark, sources, None, path, checks=CHECKS[4:12])
+    assert len(asked) == 1
+    stamps = read_report(spark, path).groupBy("sheet").agg(F.countDistinct("generated_at").alias("n")).collect()
+    assert stamps and {row.n for row in stamps} == {1}
+
+
+@pytest.mark.parametrize("entry_date", ["notadate", "2024-03-05 10:00:00"])
+@pytest.mark.parametrize("strict", [False, True])
+def test_plain_and_stored_heads_agree_on_malformed_dates(spark, tmp_path, entry_date, strict):
+    class Bad(TestdataSource):
+        def _derive(self, name):
+            found = super()._derive(name)
+            if name == CHECKS[0].domain.head:
+                found = found.withColumn("entry_date", F.when(F.col("id") % 97 == 0, entry_date).otherwise(F.col("entry_date")))
+            return found
+
+    class BadStored(Bad):
+        folder = str(tmp_path)
+
+        def _derive(self, name):
+            found = Bad._derive(self, name)
+            if name == CHECKS[0].domain.head:
+                if not os.path.exists(f"{self.folder}/{name}"):
+                    write_heads(found, f"{self.folder}/{name}")
+                found = self._spark.read.parquet(f"{self.folder}/{name}")
+            return found
+
+    kinds = Registry({"PLAIN": Bad(spark, SF), "STORED": BadStored(spark, SF)})
+    rows = run_report(spark, kinds, AS_OF, strict=strict, checks=CHECKS[1:4], at_once=1).collect()
+    plain, stored = ([r.status for r in rows if r.source_db == db] for db in ("PLAIN", "STORED"))
+    assert plain == stored and (("ERROR" in plain) == (strict and entry_date == "notadate"))
+
+
+def test_strict_needs_ansi(spark, sources):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            CHECKS[0].rows(sources.open("RMS"), AS_OF, strict=True)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_parquet_source_reads_tables_by_name(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/database_branch")
     assert Registry({"x": ParquetSource(spark, str(tmp_path))}).load("X", "database_branch").count() == 3
