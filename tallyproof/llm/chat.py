@@ -53,12 +53,13 @@ def unescape_role(role: str) -> str:
     return unescape(re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], role))
 
 
-def assemble(segments: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+def assemble(
+    segments: list[tuple[np.ndarray, np.ndarray]], rows: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Interleaves columns of byte segments: for each row its segment of each column.
 
     Columns are (data, offsets); one with a single row stands for all rows. Returns the
     bytes and the start of every segment (row by row, column by column) and the end."""
-    rows = max(len(offsets) - 1 for _, offsets in segments)
     lengths = np.empty((rows, len(segments)), np.int64)
     sources = np.empty((rows, len(segments)), np.int64)
     base = 0
@@ -82,7 +83,7 @@ def format_turns(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarr
     before each turn's text, of its text and of the turn."""
     role, text = buffers(escape_role(roles)), buffers(escape(texts))
     columns = [_constant(START), role, _constant("\n"), text, _constant(END + "\n")]
-    data, starts = assemble(columns)
+    data, starts = assemble(columns, len(texts))
     points = code_points(data, starts).reshape(-1, len(columns))
     spans = np.stack((points[:, :3].sum(axis=1), points[:, 3], points.sum(axis=1)), axis=1)
     return data, starts[:: len(columns)], spans

@@ -7,12 +7,14 @@ Words and hashes are computed for a slice at once, without a loop over rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PIECE_BYTES = 1 << 20
 
@@ -186,3 +188,37 @@ def tally(hashes: Iterator[np.ndarray], name: str, together: int = 1 << 19) -> I
             waiting, size = [], 0
     if size:
         yield counted()
+
+
+def add_columns(
+    rows: DataFrame,
+    text: str,
+    added: list[str],
+    factory: Callable[[], Callable[[pa.Array], list]],
+    limit: int = PIECE_BYTES,
+) -> DataFrame:
+    """`rows` with columns made from the texts of column `text`.
+
+    `added` has their names and types; columns of these names that `rows` has are
+    replaced. Each task calls `factory` once and its result for every slice of texts.
+    Names of columns may be anything: they are numbered on the way."""
+    names = [x.split()[0] for x in added]
+    kept = [name for name in rows.columns if name not in names]
+    numbered = rows.select(*[F.col(f"`{name}`").alias(f"_{i}") for i, name in enumerate(kept)])
+    at = kept.index(text)
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in numbered.schema]
+    fields += [f"new_{i} {x.split(' ', 1)[1]}" for i, x in enumerate(added)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = factory()
+        for piece in pieces(batches, f"_{at}", limit):
+            made = [x if isinstance(x, pa.Array) else pa.array(x) for x in make(piece.column(at))]
+            yield pa.RecordBatch.from_arrays(
+                [*piece.columns, *made], names=[field.split(" ", 1)[0] for field in fields]
+            )
+
+    found = numbered.mapInArrow(run, ", ".join(fields))
+    return found.select(
+        *[F.col(f"_{i}").alias(name) for i, name in enumerate(kept)],
+        *[F.col(f"new_{i}").alias(name) for i, name in enumerate(names)],
+    )

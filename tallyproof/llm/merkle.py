@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.columns import buffers, pieces, span_hash, text_array, words
+from tallyproof.llm.columns import add_columns, buffers, span_hash, text_array, words
 
 GRAIN_WORDS = 6
 SECTION_PARAGRAPHS = 4
@@ -131,18 +131,10 @@ def differing(a: str, b: str) -> tuple[list[int], list[int]]:
 
 def fingerprint(rows: DataFrame, text: str = "text") -> DataFrame:
     """Adds the column fingerprint (replacing one of that name)."""
-    kept = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != "fingerprint"])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, text):
-            column = text_array(piece.column(piece.schema.get_field_index(text)))
-            made = pa.array(fingerprints(column)[0], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*piece.columns, made], names=[*piece.schema.names, "fingerprint"]
-            )
-
-    return kept.mapInArrow(run, ", ".join([*fields, "fingerprint string"]))
+    return add_columns(
+        rows, text, ["fingerprint string"],
+        lambda: lambda column: [pa.array(fingerprints(text_array(column))[0], pa.string())],
+    )
 
 
 def edited_with_next(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.columns import buffers, mix, pieces, span_hash, windows, words
+from tallyproof.llm.columns import add_columns, buffers, mix, pieces, span_hash, windows, words
 from tallyproof.llm.labelled import CALIBRATION_FOLDS, Isotonic, held_out, labelled_rows, sums
 from tallyproof.llm.stored import store
 
@@ -195,21 +195,15 @@ def fit(rows: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
 
 def score(rows: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Adds score and predicted to each row (replacing columns of these names)."""
-    kept = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c not in ("score", "predicted")])
     if model is None:
-        return kept.withColumn("score", F.lit(0.5)).withColumn("predicted", F.lit(int(threshold <= 0.5)))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, text):
-            column = piece.column(piece.schema.get_field_index(text))
-            found = model.calibrated(model.raw(statistics(column)))
-            yield pa.RecordBatch.from_arrays(
-                [*piece.columns, pa.array(found), pa.array((found >= threshold).astype(np.int32))],
-                names=[*piece.schema.names, "score", "predicted"],
-            )
-
-    return kept.mapInArrow(run, ", ".join([*fields, "score double", "predicted int"]))
+        plain = rows.withColumn("score", F.lit(0.5))
+        return plain.withColumn("predicted", F.lit(int(threshold <= 0.5)))
+
+    def make(column: pa.Array) -> list:
+        found = model.calibrated(model.raw(statistics(column)))
+        return [pa.array(found, pa.float64()), (found >= threshold).astype(np.int32)]
+
+    return add_columns(rows, text, ["score double", "predicted int"], lambda: make)
 
 
 def classify(rows: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id") -> DataFrame:

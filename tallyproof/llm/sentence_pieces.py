@@ -22,9 +22,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallyproof.llm.columns import buffers, pieces, ragged, text_array
+from tallyproof.llm.columns import add_columns, buffers, ragged, text_array
 
 MARKER = "▁"
 REMEMBERED = 1_000_000
@@ -174,17 +173,11 @@ def _as_digests(encoder: Encoder, column: pa.Array, names: list[str]) -> list[pa
     return [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.string())]
 
 
-def _encoded(rows, path, text, added, make) -> DataFrame:
+def _encoded(rows: DataFrame, path: str, text: str, added: list[str], make) -> DataFrame:
     names = [x.split()[0] for x in added]
-    kept = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c not in names])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         encoder = Encoder(path)
-        for piece in pieces(batches, text, 4 << 20):
-            made = make(encoder, piece.column(piece.schema.get_field_index(text)), names)
-            yield pa.RecordBatch.from_arrays(
-                [*piece.columns, *made], names=[*piece.schema.names, *names]
-            )
+        return lambda column: make(encoder, column, names)
 
-    return kept.mapInArrow(run, ", ".join([*fields, *added]))
+    return add_columns(rows, text, added, start, 4 << 20)

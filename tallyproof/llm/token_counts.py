@@ -15,7 +15,6 @@ A null or empty text has no bytes and no tokens. Rows are never dropped or combi
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from tallyproof.llm.columns import buffers, pieces, text_array
+from tallyproof.llm.columns import add_columns, buffers, text_array
 
 # Classes of code points, in the sense of Unicode.
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
@@ -206,20 +205,16 @@ def count_tokens(rows: DataFrame, path: str, text: str = "text", limit: int = 10
     """Adds n_bytes, n_tokens and over_limit (more than `limit` tokens) to each row.
 
     Columns of these names that `rows` has are replaced."""
-    kept = [c for c in rows.columns if c not in ("n_bytes", "n_tokens", "over_limit")]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         counter = Counter(path)
-        for piece in pieces(batches, text, 4 << 20):
-            column = text_array(piece.column(piece.schema.get_field_index(text)))
+
+        def make(column: pa.Array) -> list:
+            column = text_array(column)
             tokens = counter.counts(column)
-            size = pc.cast(pc.binary_length(column), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*piece.columns, size, pa.array(tokens), pa.array(tokens > limit)],
-                names=[*piece.schema.names, "n_bytes", "n_tokens", "over_limit"],
-            )
-
-    return rows.select(*kept).mapInArrow(
-        run, f"{fields}, n_bytes bigint, n_tokens bigint, over_limit boolean"
-    )
+            return [pc.cast(pc.binary_length(column), pa.int64()), tokens, tokens > limit]
+
+        return make
+
+    added = ["n_bytes bigint", "n_tokens bigint", "over_limit boolean"]
+    return add_columns(rows, text, added, start, 4 << 20)
