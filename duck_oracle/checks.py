@@ -246,19 +246,31 @@ def _status_sql() -> str:
       FROM ({counts})"""
 
 
-# Family -> record field reported beside the id.
+# Family -> record fields reported beside the id, and the amounts (in cents) or quantities.
 DETAIL_FIELDS = {
-    "seq_gap": "missing_entry_number",
-    "dup": "entry_number",
-    "mismatch": "entry_date",
-    "high_qty": "entry_date",
+    "seq_gap": ("missing_entry_number",),
+    "dup": ("entry_number",),
+    "mismatch": ("entry_date", "entry_number"),
+    "high_qty": ("entry_date", "entry_number"),
 }
+DETAIL_AMOUNTS = {
+    "mismatch": ("difference_amount", "net_amount", "items_total_value"),
+    "high_qty": ("sum_of_sq_sf", "sum_of_pq_pf"),
+}
+
+
+def _detail(prefix: str, sql: str) -> str:
+    fields = [*DETAIL_FIELDS[prefix]]
+    for name in DETAIL_AMOUNTS.get(prefix, ()):
+        if name in sql:
+            fields.append(f"CAST(CAST(round(CAST({name} AS DOUBLE) * 100) AS BIGINT) AS VARCHAR)")
+    return f"concat_ws('|', {', '.join(fields)})"
 
 
 def _detail_sql() -> str:
     return "\nUNION ALL ".join(
         f"SELECT '{name}' AS source_db, '{sheet}' AS sheet, '{title}' AS check_title, id, "
-        f"{DETAIL_FIELDS[prefix]} AS detail FROM ({sql})"
+        f"{_detail(prefix, sql)} AS detail FROM ({sql})"
         for prefix, name, sheet, title, sql in _sections()
     )
 
