@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tallyproof.llm.columns import mix
 
 _SEGMENT = 1 << 19  # bits set together by one task: 64 KB
+_TOGETHER = 1 << 20  # bits a task sends at once
 
 
 def _places(values: np.ndarray, size: int, probes: int) -> np.ndarray:
@@ -35,23 +36,35 @@ def hash_bits(hashes: DataFrame, name: str, size: int = 27, probes: int = 1) ->
     segments = (1 << size) // _SEGMENT
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = _places(batch.column(0).to_numpy(), 1 << size, probes).ravel().astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((bit // _SEGMENT).astype(np.int32)), pa.array((bit % _SEGMENT).astype(np.int32))],
-                names=["segment", "bit"],
+        waiting, count = [], 0
+
+        def packed() -> pa.RecordBatch:
+            bits = np.unique(np.concatenate(waiting))
+            segment = (bits // np.uint64(_SEGMENT)).astype(np.int32)
+            starts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1])))
+            inner = np.split((bits % np.uint64(_SEGMENT)).astype(np.uint32), starts[1:])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(segment[starts]), pa.array([x.tobytes() for x in inner], pa.binary())],
+                names=["segment", "set"],
             )
 
+        for batch in batches:
+            if len(batch):
+                waiting.append(_places(batch.column(0).to_numpy(), 1 << size, probes).ravel())
+                count += len(waiting[-1])
+            if count >= _TOGETHER:
+                yield packed()
+                waiting, count = [], 0
+        if count:
+            yield packed()
+
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, np.ndarray] = {}
         for batch in batches:
-            segment, bit = (c.to_numpy() for c in batch.columns)
-            order = np.argsort(segment, kind="stable")
-            segment, bit = segment[order], bit[order]
-            starts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1]))) if len(batch) else []
-            for a, b in zip(starts, [*starts[1:], len(bit)], strict=True):
-                bits = found.setdefault(int(segment[a]), np.zeros(_SEGMENT // 8, np.uint8))
-                np.bitwise_or.at(bits, bit[a:b] >> 3, (1 << (bit[a:b] & 7)).astype(np.uint8))
+            for segment, some in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                bit = np.frombuffer(some, np.uint32)
+                bits = found.setdefault(segment, np.zeros(_SEGMENT // 8, np.uint8))
+                np.bitwise_or.at(bits, bit >> np.uint32(3), np.uint8(1) << (bit & np.uint32(7)).astype(np.uint8))
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(found), pa.int32()), pa.array([x.tobytes() for x in found.values()], pa.binary())],
             names=["segment", "bits"],
@@ -59,7 +72,7 @@ def hash_bits(hashes: DataFrame, name: str, size: int = 27, probes: int = 1) ->
 
     bits = (
         hashes.select(F.col(name).alias("hash")).filter("hash IS NOT NULL")
-        .mapInArrow(placed, "segment int, bit int")
+        .mapInArrow(placed, "segment int, set binary")
         .repartition(min(segments, 16), "segment")
         .mapInArrow(filled, "segment int, bits binary")
     )

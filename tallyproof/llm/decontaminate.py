@@ -234,10 +234,13 @@ def _found(rows, items, more: list[str], key, text, item_key, item_text) -> Data
     wanted = store(phrases(items, item_key, item_text))
     known = texts.filter("id IS NOT NULL")
     terms = wanted.select(F.explode("terms").alias("term")).distinct()
-    counts = term_counts(texts, hash_bits(terms, "term", _BITS))
-    chosen = store(rarest(wanted, counts))
+    bits = hash_bits(terms, "term", _BITS)
+    chosen = store(rarest(wanted, term_counts(texts, bits)))
+    bits.destroy()
     needed = chosen.select(F.explode(F.array("term", "term_2")).alias("term")).filter("term IS NOT NULL").distinct()
-    index = store(positional_index(known, hash_bits(needed, "term", _BITS)).join(needed, "term", "left_semi"))
+    bits = hash_bits(needed, "term", _BITS)
+    index = store(positional_index(known, bits).join(needed, "term", "left_semi"))
+    bits.destroy()
     found = candidates(chosen, index).join(wanted.select("size", "first", "second", "items"), ["size", "first", "second"])
     listed = found.groupBy("id").agg(
         F.collect_list(F.struct("size", "first", "second", "starts", "items")).alias("found")

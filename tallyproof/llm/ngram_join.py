@@ -14,7 +14,9 @@ most d = (100 - LIKE) (r + s) / (100 + LIKE) shingles and neither is much larger
 3. Among suspects segments are refined to single shingles, those no other suspect has
    first, the others by hash. Two linked sets have a first common shingle, and the numbers
    of shingles before it in both add up to d at most. So copies with edits of their own
-   meet only if their edits leave room.
+   meet only if their edits leave room. Besides, each set has a parity map: every shingle
+   turns one of its bits over, so two sets differ in at least as many shingles as their
+   maps differ in bits. That is part of the join, and drops most pairs that are not linked.
 4. Per shingle the set with the fewest shingles before it leads; all others that may be
    linked with it are verified on the whole sets. Components of these links leave few pairs
    that share a shingle and room but no component: those are verified as well. Pairs within
@@ -48,7 +50,8 @@ from tallyproof.llm.stored import store
 _GROWTH = 1.35
 _ALIKE = 0.75  # share of shingles that sets have in common which are alike but not linked
 _BITS, _PROBES = 27, 4
-_TOKEN_BITS, _TOKEN_PROBES = 28, 2
+_TOKEN_BITS, _TOKEN_PROBES = 26, 2
+_MAP = [f"m{i}" for i in range(8)]  # 64 bits each
 
 
 @dataclass(frozen=True)
@@ -188,7 +191,8 @@ def _shingles(batches, like: Likeness) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(batches, like: Likeness, shared: Broadcast) -> Iterator[pa.RecordBatch]:
-    """(key, id, size, before) of the shared shingles that may be the first in common."""
+    """(key, id, size, before, map) of the shared shingles that may be the first in common."""
+    bits = 64 * len(_MAP)
     for piece in pieces(batches):
         values, first = sets_of(piece.column(1), like)
         sizes = np.diff(first)
@@ -198,19 +202,25 @@ def _prefixes(batches, like: Likeness, shared: Broadcast) -> Iterator[pa.RecordB
         alone = sizes - (ends[first[1:]] - ends[first[:-1]])
         before = alone[row] + ends[:-1] - ends[first[row]]
         kept = np.flatnonzero(common & (before <= like.prefix(sizes)[row]))
+        slot = row * bits + ((values >> np.uint64(32)) % np.uint64(bits)).astype(np.int64)
+        odd = (np.bincount(slot, minlength=len(sizes) * bits) & 1).astype(np.uint8)
+        maps = np.packbits(odd.reshape(-1, bits), axis=1).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(values[kept].view(np.int64)), piece.column(0).take(pa.array(row[kept])),
-             pa.array(sizes[row[kept]].astype(np.int32)), pa.array(before[kept].astype(np.int32))],
-            names=["key", "id", "size", "before"],
+             pa.array(sizes[row[kept]].astype(np.int32)), pa.array(before[kept].astype(np.int32)),
+             *(pa.array(maps[row[kept], i]) for i in range(len(_MAP)))],
+            names=["key", "id", "size", "before", *_MAP],
         )
 
 
 def _may_link(like: Likeness, a: str, b: str) -> str:
     """Whether two prefix rows leave room for a link."""
-    sizes = f"({a}.size + {b}.size)"
+    room = f"{100 - like.percent} * ({a}.size + {b}.size)"
+    apart = " + ".join(f"bit_count({a}.{m} ^ {b}.{m})" for m in _MAP)
     return (
         f"100 * least({a}.size, {b}.size) >= {like.percent} * greatest({a}.size, {b}.size) AND "
-        f"{100 + like.percent} * ({a}.before + {b}.before) <= {100 - like.percent} * {sizes}"
+        f"{100 + like.percent} * ({a}.before + {b}.before) <= {room} AND "
+        f"{100 + like.percent} * ({apart}) <= {room}"
     )
 
 
@@ -247,9 +257,11 @@ def links(texts: DataFrame, like: Likeness) -> DataFrame:
     )
     shared = hash_bits(counts.filter("n > 1"), "key", _TOKEN_BITS, _TOKEN_PROBES)
     prefix = store(texts.mapInArrow(
-        lambda b: _prefixes(b, like, shared), f"key bigint, id {kind}, size int, before int"
+        lambda b: _prefixes(b, like, shared),
+        f"key bigint, id {kind}, size int, before int, " + ", ".join(f"{m} bigint" for m in _MAP),
     ))
-    leader = prefix.groupBy("key").agg(F.min(F.struct("before", "id", "size")).alias("l")).select("key", "l.*")
+    shared.destroy()
+    leader = prefix.groupBy("key").agg(F.min(F.struct("before", "id", "size", *_MAP)).alias("l")).select("key", "l.*")
     led = prefix.alias("p").join(leader.alias("l"), "key").filter("p.id <> l.id")
     stars = led.filter(_may_link(like, "p", "l")).select(F.col("p.id").alias("a"), F.col("l.id").alias("b"))
     stars = store(_ordered(stars))
@@ -293,6 +305,7 @@ def jaccard_components(
     bits = hash_bits(counts.filter("n > 1"), "key", _BITS, _PROBES)
     suspects = texts.filter("id IS NOT NULL").mapInArrow(lambda b: _suspects(b, like, bits), f"id {kind}, text string")
     suspects = store(suspects.join(one_each.select(F.col("first").alias("id")).distinct(), "id", "left_semi"))
+    bits.destroy()
     # Rows of one id hang together, whatever their sets; so do rows of one set.
     same = digests.filter("n > 0 AND id IS NOT NULL").join(one_each, ["n", "one", "two"]).select(
         F.col("id").alias("a"), F.col("first").alias("b")
