@@ -49,7 +49,7 @@ from tallyproof.llm.stored import store
 
 _GROWTH = 1.35
 _ALIKE = 0.75  # share of shingles that sets have in common which are alike but not linked
-_BITS, _PROBES = 27, 4
+_BITS, _PROBES = 28, 4
 _TOKEN_BITS, _TOKEN_PROBES = 26, 2
 _MAP = [f"m{i}" for i in range(8)]  # 64 bits each
 
