@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tallyproof.llm.columns import ALPHANUMERIC, Words, add_columns, pieces, span_hash, words
 from tallyproof.llm.labelled import CALIBRATION_FOLDS, Isotonic, held_out, labelled_rows
+from tallyproof.llm.ngram_join import jaccard_components
 from tallyproof.llm.stored import store
 
 STEMS = (4, 5, 6)  # code points; fewer than that are the whole word
@@ -158,15 +159,6 @@ def _segments(scores: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, list
         yield size, [(s - int(first[i]), e - int(first[i]), x) for s, e, x in found]
 
 
-def _lowest(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The lowest hash of each text, 0 for one without words."""
-    lows = np.zeros(len(first) - 1, np.int64)
-    filled = first[:-1] < first[1:]
-    if filled.any():
-        lows[filled] = np.minimum.reduceat(hashes, first[:-1][filled]).view(np.int64)
-    return lows
-
-
 def _rate(scores: np.ndarray, shares: np.ndarray) -> float:
     """The positive solution of sum(shares * exp(rate * scores)) = 1."""
     low, high = 1e-6, 1.0
@@ -183,7 +175,13 @@ def _rate(scores: np.ndarray, shares: np.ndarray) -> float:
 
 def fit(rows: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id") -> Model | None:
     """Learns from labelled rows that are not held out; None without any."""
-    sample = store(labelled_rows(rows, labels, label, key))
+    sample = store(labelled_rows(rows, labels, label, key).withColumn("row", F.monotonically_increasing_id()))
+    learnt = sample.filter(F.col("fold") >= CALIBRATION_FOLDS)
+    # Near copies would make all their words look significant: what the texts of a label
+    # in a component of op5's links have, counts once for all of them.
+    found = store(jaccard_components(learnt, "row").select("row", F.col("component_id").alias("component")))
+    several = found.groupBy("component").agg(F.count("*").alias("n")).filter("n > 1").select("component")
+    copies = store(found.join(several, "component"))  # row numbers of the bounded sample
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
@@ -198,28 +196,27 @@ def fit(rows: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
                 [pa.array(some), pa.array(hits), pa.array(rest)], names=["bucket", "toxic", "other"]
             )
 
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def had(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            w = words(piece.column(0), ALPHANUMERIC, lower=True)
-            lows = [_lowest(w.hashes(which), w.first) for which in (0, 1)]
+            w, buckets = tokens(piece.column(0))
+            keys = np.unique((w.row()[None, :] << 40 | buckets).ravel())
+            row = keys >> 40
             yield pa.RecordBatch.from_arrays(
-                [*piece.columns, *map(pa.array, lows)], names=["text", "label", "low0", "low1"]
+                [pa.array(keys & ((1 << 40) - 1)), *(piece.column(i).take(pa.array(row)) for i in (1, 2))],
+                names=["bucket", "label", "component"],
             )
 
-    # Near copies would make all their words look significant: of texts with the same
-    # label and the same two lowest word hashes one is counted.
-    learnt = (
-        sample.filter(F.col("fold") >= CALIBRATION_FOLDS).select("text", "label")
-        .mapInArrow(sketched, "text string, label int, low0 bigint, low1 bigint")
-        .groupBy("label", "low0", "low1").agg(F.min("text").alias("text"))
-        .select("text", "label")
+    alone = learnt.join(F.broadcast(copies.select("row")), "row", "left_anti").select("text", "label")
+    alike = learnt.join(F.broadcast(copies), "row").select("text", "label", "component")
+    alike = alike.mapInArrow(had, "bucket bigint, label int, component bigint").distinct().select(
+        "bucket", F.expr("if(label > 0, 1L, 0L)").alias("toxic"), F.expr("if(label > 0, 0L, 1L)").alias("other")
     )
-    counts = learnt.mapInArrow(counted, "bucket bigint, toxic bigint, other bigint")
+    counts = alone.mapInArrow(counted, "bucket bigint, toxic bigint, other bigint").unionByName(alike)
     counts = store(counts.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
     if counts.isEmpty():
         return None
-    found = log_odds(counts).orderBy("bucket").toPandas()
-    model = Model(found["bucket"].to_numpy(np.int64), found["weight"].to_numpy(float))
+    weights = log_odds(counts).orderBy("bucket").toPandas()
+    model = Model(weights["bucket"].to_numpy(np.int64), weights["weight"].to_numpy(float))
     unseen = sample.filter(F.col("fold") < CALIBRATION_FOLDS)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

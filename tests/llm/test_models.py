@@ -71,6 +71,20 @@ def test_labels_of_held_out_rows_are_not_learnt(spark):
     assert first == pytest.approx(second)
 
 
+def test_texts_that_share_their_lowest_words_are_all_learnt_from(documents, spark):
+    rng = random.Random(6)
+    names = [f"w{i}" for i in range(400)]
+    hashes = [toxicity.words(pa.array(names), toxicity.ALPHANUMERIC).hashes(which) for which in (0, 1)]
+    common = [names[int(h.argmin())] for h in hashes]
+    rows = [(i, " ".join([*common, *rng.sample(names, 8), "vile" if i % 2 else "kind"])) for i in range(400)]
+    rows += [(1000 + i, " ".join(["once", *[f"c{j}" for j in range(60)], f"v{i}"])) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2 if i < 1000 else 1) for i, _ in rows], "doc_id bigint, toxic int")
+    model = toxicity.fit(documents(rows), labels)
+    weights = model.scored(toxicity.tokens(pa.array(["vile kind once"]))[1]) + toxicity.DRIFT
+    # Near copies are one text.
+    assert weights[0] > 0 and weights[1] == weights[2] == 0
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(-5, 5), max_size=40))
 def test_maximal_segments(scores):
