@@ -2,9 +2,10 @@
 
 1. quality: documents the classifier rejects go. It learns from the labels of documents
    that are not held out and judges all it is given.
-2. near_duplicates: of each component of similar documents the one with the lowest id
-   stays (of rows with that id: the one with the least text). Documents without words are
-   similar to nothing and stay; so do rows without an id.
+2. near_duplicates: of each component of similar documents (80 percent or more of their
+   shingles of five words in common) the one with the lowest id stays (of rows with that
+   id: the one with the least text). Documents without words are similar to nothing and
+   stay; so do rows without an id.
 3. decontamination: documents with an occurrence of a benchmark window go.
 4. secrets: live secrets are masked; strings that many owners have stay. No row goes.
 5. sentencepiece: the documents' ids, with begin and end, and the text decoded from them.
@@ -27,6 +28,9 @@ from tallyproof.llm.stored import long_texts, shared_folder, store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# What near_duplicates takes for similar; op5's query has a likeness of its own.
+LIKE = ngram_join.Likeness(size=5, percent=80)
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = long_texts(spark).read.parquet(f"{sf_dir}/labels.parquet")
@@ -39,7 +43,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     long_texts(spark)
-    found = store(ngram_join.jaccard_components(docs))
+    found = store(ngram_join.jaccard_components(docs, like=LIKE))
     gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*map(_named, docs.columns))
     known = found.filter("doc_id = component_id AND n_shingles > 0")

@@ -174,6 +174,29 @@ def test_the_pipelines_stages(spark):
         assert list(r.ids) == ids and r.decoded == library.decode(ids) and r.n_tokens == len(ids)
 
 
+def test_near_duplicates_are_those_of_five_words_and_four_fifths(spark, documents):
+    base = [f"w{i}" for i in range(44)]
+    # Of 1's five-word shingles 2 has 36 of 44 in common, 3 has 35 of 45; of four words 2 has 37 of 45.
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:40], *[f"x{i}" for i in range(4)]]))]
+    rows += [(3, " ".join([*base[5:], *[f"y{i}" for i in range(5)]]))]
+    docs = read(spark, "documents").select("doc_id", "text").filter("doc_id between 200 and 640")
+    rows += [(r.doc_id + 1000, r.text) for r in docs.collect()]
+    sets = {}
+    for i, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        n = min(5, len(w))
+        sets[i] = {tuple(w[j : j + n]) for j in range(len(w) - n + 1)} if w else set()
+    root = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            both = len(sets[i] & sets[j]) if i < j else 0
+            if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = {x: a if r == b else r for x, r in root.items()}
+    got = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, documents(rows), SF).collect()}
+    assert got == set(root.values()) and 2 not in got and 3 in got and 1615 not in got
+
+
 def test_stages_take_odd_rows(spark, odd, extra):
     for rows in (odd, extra, odd.filter("false")):
         for name, stage in corpus_pipeline.STAGES:
