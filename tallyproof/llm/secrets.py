@@ -17,6 +17,9 @@ the same id are reported each for itself.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +35,8 @@ PATTERNS = {
 _ASSIGNED = 6
 LIVE = "live"
 STRONG = "strong"
-STRONG_PATTERN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,64}[0-9])(?=[0-9a-z+/_-]{0,64}[A-Z])(?=[0-9A-Z+/_-]{0,64}[a-z])[A-Za-z0-9+/_-]{20,}={0,2}"
+STRONG_PATTERN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+_MIXED = ("[0-9]", "[A-Z]", "[a-z]")  # a strong match has all of these, anywhere
 
 # From so many owners on, a string is taken for a copied example.
 WIDE = 3
@@ -85,7 +89,7 @@ def find_spans(rows: DataFrame, text: str = "text") -> DataFrame:
     base = F.array_sort(F.concat(F.filter(long, lambda s: s.isNotNull()), "access_spans", "hex_spans"))
     apart = F.filter(
         "strong_spans",
-        lambda s: ~F.exists("base", lambda b: (b["begin"] < s["stop"]) & (s["begin"] < b["stop"])),
+        lambda s: reduce(and_, [s["value"].rlike(p) for p in _MIXED]) & ~F.exists("base", lambda b: (b["begin"] < s["stop"]) & (s["begin"] < b["stop"])),
     )
     return found.withColumn("base", base).withColumn("strong_only", apart)
 

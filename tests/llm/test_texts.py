@@ -192,6 +192,15 @@ def test_owners_tell_examples_from_live_secrets(documents):
     assert masked[1] == "a password=<secret> b" and masked[3] == f"x {shared} é"
 
 
+def test_strong_strings_are_mixed_anywhere(documents):
+    late = "Ab" * 40 + "9"
+    rows = [(1, f"x {late} y", "s1"), (2, "/" * 70 + "aB3" * 8, "s2"), (3, "z" * 30 + " " + "aB" * 30, "s3")]
+    got = {r.doc_id: [(s.kind, s.begin, s.stop) for s in r.spans] for r in secrets.scan_secrets(documents(rows)).collect()}
+    assert got == {1: [("live", 2, 83)], 2: [("live", 0, 94)], 3: []}
+    masked = {r.doc_id: r.text for r in secrets.mask_live(documents(rows)).collect()}
+    assert masked == {1: "x <secret> y", 2: "<secret>", 3: rows[2][1]}
+
+
 def test_odd_rows(odd, extra, spark):
     items = spark.createDataFrame([(1, "another text of the same id it is no copy")], "item_id bigint, text string")
     for rows in (odd, extra):
