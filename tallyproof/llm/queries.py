@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm import chat, decontaminate, merkle, ngram_join, quality, secrets, sentence_pieces, substring_dedup, token_counts, toxicity
+from tallyproof.llm import (
+    chat, decontaminate, manifest, merkle, ngram_join, quality, secrets, sentence_pieces, simhash, spelling,
+    substring_dedup, token_counts, toxicity,
+)
 from tallyproof.llm.stored import long_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +83,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampers with the rows whose key's CRC-32 is divisible by five."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return manifest.manifest(_documents(spark, sf_dir, *manifest.COLUMNS), tampered=tampered)
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(_documents(spark, sf_dir))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -92,6 +109,9 @@ def queries() -> dict[str, Query]:
         "op8_secrets": op8_secrets,
         "op9_token_count": op9_token_count,
         "op10_quality": op10_quality,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_simhash": op12_simhash,
+        "op13_spelling": op13_spelling,
     }
 
 
