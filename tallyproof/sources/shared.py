@@ -24,6 +24,11 @@ def shared_folder(spark: SparkSession) -> str:
     return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where to store now: the folder of the `intermediates` block around, or the shared one."""
+    return spark.sparkContext.getLocalProperty(_RUN) or shared_folder(spark)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder, whatever file system it is on."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -64,8 +69,7 @@ def store(frame: DataFrame, **measures: str) -> Stored:
     `intermediates` they go with its folder, else they stay.
     """
     spark = frame.sparkSession
-    folder = spark.sparkContext.getLocalProperty(_RUN) or shared_folder(spark)
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
     seen = Observation()
     aggregates = [F.expr(f"{sql} AS {name}") for name, sql in measures.items()]
     (frame.observe(seen, *aggregates) if aggregates else frame).write.parquet(path)
