@@ -16,8 +16,10 @@ proximity matches in the same index. A word repeated very often makes long lists
 it is among the rarest of a window; lists are joined by Spark and never collected, but for
 one document's positions of one term.
 
-Null texts have no words, null ids match nothing but are returned. Rows with equal ids are
-verified each on its own text. Repeated items are one item of that id.
+Null texts have no words. Documents are indexed by a hash of their id and text, so rows
+without an id, or with one that others have, are searched like the rest, each in its own
+text; rows equal in both share their lists. Repeated items are one item of that id. Windows
+of items without an id are searched as well, but have no id to be listed.
 """
 
 from __future__ import annotations
@@ -68,7 +70,7 @@ def phrases(items: DataFrame, key: str = "item_id", text: str = "text", window:
 
     rows = items.select(
         F.col(f"`{key}`").cast("string").alias("item"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
-    ).filter("item IS NOT NULL")
+    )
     found = rows.mapInArrow(run, "size int, first bigint, second bigint, terms array<bigint>, item string")
     return found.groupBy("size", "first", "second").agg(
         F.first("terms").alias("terms"), F.collect_set("item").alias("items")
@@ -231,21 +233,22 @@ def _found(rows, items, more: list[str], key, text, item_key, item_text) -> Data
         F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"),
         *[F.col(f"`{name}`").alias(f"_{i}") for i, name in enumerate(more)],
     )
+    texts = texts.withColumn("who", F.xxhash64("id", "text"))
     wanted = store(phrases(items, item_key, item_text))
-    known = texts.filter("id IS NOT NULL")
     terms = wanted.select(F.explode("terms").alias("term")).distinct()
     bits = hash_bits(terms, "term", _BITS)
     chosen = store(rarest(wanted, term_counts(texts, bits)))
     bits.destroy()
     needed = chosen.select(F.explode(F.array("term", "term_2")).alias("term")).filter("term IS NOT NULL").distinct()
     bits = hash_bits(needed, "term", _BITS)
-    index = store(positional_index(known, bits).join(needed, "term", "left_semi"))
+    index = store(positional_index(texts.select(F.col("who").alias("id"), "text"), bits).join(needed, "term", "left_semi"))
     bits.destroy()
     found = candidates(chosen, index).join(wanted.select("size", "first", "second", "items"), ["size", "first", "second"])
-    listed = found.groupBy("id").agg(
+    listed = found.groupBy(F.col("id").alias("who")).agg(
         F.collect_list(F.struct("size", "first", "second", "starts", "items")).alias("found")
     )
-    joined = texts.join(listed, "id", "left").select("id", "text", "found", *texts.columns[2:])
-    kind, _, *others = [f"{f.name} {f.dataType.simpleString()}" for f in texts.schema]
+    more = [f"_{i}" for i in range(len(more))]
+    joined = texts.join(listed, "who", "left").select("id", "text", "found", *more)
+    kind, *others = [f"{x} {texts.schema[x].dataType.simpleString()}" for x in ("id", *more)]
     schema = ", ".join([kind, "n_words bigint, n_hit bigint, items array<string>", *others])
     return joined.mapInArrow(_verified, schema)

@@ -226,3 +226,27 @@ def test_empty_tables(documents, spark):
         assert made.collect() == []
     some = documents([(1, "a b")])
     assert [r.n_hit for r in decontaminate.decontaminate(some, items).collect()] == [0]
+
+
+def test_many_keys_in_one_text(documents):
+    rng = random.Random(3)
+    keys = ["AKIA" + "".join(rng.choice("ABCDEFGHIJ0123") for _ in range(17)) for _ in range(16_000)]
+    text = "é ".join(keys)
+    row = secrets.scan_secrets(documents([(1, text, "s")])).first()
+    assert [(s.begin, s.stop) for s in row.base] == [(i * 23, i * 23 + 21) for i in range(len(keys))]
+    masked = secrets.mask_live(documents([(1, text, "s")])).first()
+    assert masked.text == "é ".join(["<secret>"] * len(keys))
+
+
+def test_rows_and_items_without_an_id_are_searched(documents, spark):
+    items = [(1, "one two three four five six"), (None, "seven eight nine ten"), (None, None)]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = [(None, "so one two three four five six it is"), (None, "clean"), (3, "seven eight nine ten"), (3, "clean as well"),
+            (3, "seven eight nine ten"), (4, None), (None, None)]
+    got = decontaminate.decontaminate(documents(rows), table).collect()
+    found = sorted((str(r.doc_id), r.n_words, r.n_hit, r.items) for r in got)
+    assert found == sorted([
+        ("None", 9, 6, ["1"]), ("None", 1, 0, []), ("3", 4, 4, []), ("3", 3, 0, []), ("3", 4, 4, []), ("4", 0, 0, []), ("None", 0, 0, []),
+    ])
+    left = decontaminate.clean_rows(documents(rows), table).collect()
+    assert sorted(str(r.text) for r in left) == ["None", "None", "clean", "clean as well"]
