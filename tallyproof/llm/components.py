@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.stored import store
+from tallyproof.llm.stored import release, store
 
 
 def _sorted_pairs(pairs: DataFrame) -> DataFrame:
@@ -33,6 +33,7 @@ def components(links: DataFrame) -> DataFrame:
         larger = _sorted_pairs(larger)
         lowest = larger.groupBy("a").agg(F.min("b").alias("m"))
         smaller = larger.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        pairs = store(_sorted_pairs(smaller.unionByName(lowest.select("a", F.col("m").alias("b")))))
+        done, pairs = pairs, store(_sorted_pairs(smaller.unionByName(lowest.select("a", F.col("m").alias("b")))))
+        release(done)
     own = pairs.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return pairs.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(own)

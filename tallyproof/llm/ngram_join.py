@@ -9,21 +9,26 @@ most d = (100 - LIKE) (r + s) / (100 + LIKE) shingles and neither is much larger
    tolerate d in total, then by the pigeonhole principle two linked sets agree in one. How
    many segments of which kind a band gets is decided by cost: index entries against
    expected agreements of sets that are much alike but not linked (`plan`).
-2. Index entries are counted. Sets without an entry that another has are alone; the rest,
-   and sets with too many empty segments to be sure, are kept as suspects.
-3. Among suspects segments are refined to single shingles, those no other suspect has
-   first, the others by hash. Two linked sets have a first common shingle, and the numbers
-   of shingles before it in both add up to d at most. So copies with edits of their own
-   meet only if their edits leave room. Besides, each set has a parity map: every shingle
-   turns one of its bits over, so two sets differ in at least as many shingles as their
-   maps differ in bits. That is part of the join, and drops most pairs that are not linked.
+2. Index entries are sent to ranges of their hashes, packed into blocks: the sorted hashes of
+   many sets as differences of four bytes, and beside each which of the block's sets it is of.
+   Hashes are cut to as many bits as keep wrong agreements rare for their number. A range
+   finds the entries that unequal sets have in common. Their sets, and those with too many
+   empty segments to be sure, are suspects; the others are alone.
+3. Among suspects segments are refined to single shingles, those no other suspect has first,
+   then by how many have them, rare ones first. Two linked sets have a first common shingle,
+   and the numbers of shingles before it in both add up to d at most. So copies with edits of
+   their own meet only if their edits leave room, and a shingle that very many texts have is
+   the first in common only where they share nothing rarer. Besides, each set has a parity
+   map: every shingle turns one of its bits over, so two sets differ in at least as many
+   shingles as their maps differ in bits. That is part of the join, and drops most pairs that
+   are not linked.
 4. Per shingle the set with the fewest shingles before it leads; all others that may be
    linked with it are verified on the whole sets. Components of these links leave few pairs
    that share a shingle and room but no component: those are verified as well. Pairs within
    a component need no check, so a group of copies costs about a check for each copy.
 
-Equal sets are one from the start. What a bit set of fixed size lets through wrongly in 2
-and 3 is verified like the rest, and the order in 3 is the same for all sets, whatever the
+Equal sets are one from the start. What cut hashes or a bit set of fixed size let through
+wrongly is verified like the rest, and the order in 3 is the same for all sets, whatever the
 bits say; no step drops a link.
 
 A row without words, or with a null text, has no set and is linked with nothing. Rows with
@@ -45,12 +50,17 @@ from pyspark.sql import functions as F
 from tallyproof.llm.bits import contains, hash_bits
 from tallyproof.llm.columns import mix, pieces, ragged, tally, window_starts, windows, words
 from tallyproof.llm.components import components
-from tallyproof.llm.stored import store
+from tallyproof.llm.stored import release, store
 
 _GROWTH = 1.35
 _ALIKE = 0.75  # share of shingles that sets have in common which are alike but not linked
-_BITS, _PROBES = 28, 4
-_TOKEN_BITS, _TOKEN_PROBES = 26, 2
+_TOGETHER = 1 << 19  # index entries packed together
+_RANGES = 64  # ranges of index entries at least; each is read by one task,
+_RANGE = 1 << 26  # has about so many entries at most,
+_SLICE = 1 << 22  # and is held in slices of about so many
+_SPARE_BITS = 15  # a hash agrees wrongly once in 2 ** 15
+_ID_BITS, _TOKEN_BITS, _PROBES = 26, 26, 2
+FREQUENT = 1 << 18  # shingles whose frequencies are broadcast, 16 bytes each
 _MAP = [f"m{i}" for i in range(8)]  # 64 bits each
 
 
@@ -127,13 +137,17 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def _marks(values: np.ndarray, first: np.ndarray, which: int = 1) -> np.ndarray:
+    """A hash of each set."""
+    return mix(_sums(mix(values ^ np.uint64(which)), first))
+
+
 def _digests(batches: Iterator[pa.RecordBatch], like: Likeness) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches):
         values, first = sets_of(piece.column(1), like)
         yield pa.RecordBatch.from_arrays(
             [piece.column(0), pa.array(np.diff(first)),
-             pa.array(mix(_sums(mix(values ^ np.uint64(1)), first)).view(np.int64)),
-             pa.array(mix(_sums(mix(values ^ np.uint64(2)), first)).view(np.int64))],
+             pa.array(_marks(values, first).view(np.int64)), pa.array(_marks(values, first, 2).view(np.int64))],
             names=["id", "n", "one", "two"],
         )
 
@@ -174,56 +188,258 @@ def entries(values: np.ndarray, first: np.ndarray, like: Likeness) -> tuple[np.n
     return np.concatenate(rows), np.concatenate(keys), unsure
 
 
-def _counted(batches: Iterator[pa.RecordBatch], like: Likeness) -> Iterator[pa.RecordBatch]:
-    return tally((entries(*sets_of(piece.column(0), like), like)[1] for piece in pieces(batches)), "key")
+_BLOCK = "range int, slice int, n int, first bigint, steps binary, owners binary, sets binary"
+
+
+def _blocks(batches, like: Likeness, bits: int, ranges: int, slices: int) -> Iterator[pa.RecordBatch]:
+    """Index entries of (text) in blocks, one for each slice of a range and about `_TOGETHER`
+    entries.
+
+    A block has `n` sorted hashes of `bits` bits (the first, and steps), for each the place
+    of its set among the block's `sets`, and these as hashes. Blocks without entries name
+    sets that are suspects anyhow."""
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def packed() -> pa.RecordBatch:
+        keys, marks = (np.concatenate(x) for x in zip(*waiting, strict=True))
+        sets, owner = np.unique(marks, return_inverse=True)
+        order = np.lexsort((owner, keys))
+        keys, owner = keys[order], owner[order]
+        fresh = np.ones(len(keys), bool)
+        fresh[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+        keys, owner = keys[fresh], owner[fresh]
+        at = (keys >> np.uint64(bits - 32)) * np.uint64(ranges * slices) >> np.uint64(32)
+        edges = np.searchsorted(at, np.arange(ranges * slices + 1))
+        rows = []
+        for i in np.flatnonzero(np.diff(edges)).tolist():
+            own = keys[edges[i] : edges[i + 1]]
+            used, place = np.unique(owner[edges[i] : edges[i + 1]], return_inverse=True)
+            place = place.astype("<u2" if len(used) <= 1 << 16 else "<u4")
+            rows.append((
+                i // slices, i % slices, len(own), int(own[0]), _steps(own), place.tobytes(), sets[used].astype("<u8").tobytes()
+            ))
+        return _block_rows(rows)
+
+    for number, piece in enumerate(pieces(batches)):
+        values, first = sets_of(piece.column(0), like)
+        row, keys, unsure = entries(values, first, like)
+        marks = _marks(values, first)
+        unsure &= np.diff(first) > 0
+        if unsure.any():
+            yield _block_rows([(number % ranges, 0, 0, 0, b"", b"", marks[unsure].astype("<u8").tobytes())])
+        if len(keys):
+            waiting.append((keys >> np.uint64(64 - bits), marks[row]))
+            size += len(keys)
+        if size >= _TOGETHER:
+            yield packed()
+            waiting.clear()
+            size = 0
+    if waiting:
+        yield packed()
+
+
+def _steps(values: np.ndarray) -> bytes:
+    """Steps between sorted values: their low four bytes, and where one needs it (a fifth, or
+    all eight) the next byte of each, or the whole steps instead."""
+    steps = np.diff(values, prepend=values[:1])
+    low = steps.astype("<u4").tobytes()
+    most = int(steps.max())
+    if most < 1 << 32:
+        return low
+    return low + (steps >> np.uint64(32)).astype(np.uint8).tobytes() if most < 1 << 40 else steps.astype("<u8").tobytes()
+
+
+def _values(first: int, n: int, steps: bytes) -> np.ndarray:
+    if len(steps) == 8 * n:
+        found = np.frombuffer(steps, "<u8")
+    else:
+        found = np.frombuffer(steps, "<u4", n).astype(np.uint64)
+        if len(steps) == 5 * n:
+            found |= np.frombuffer(steps, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32)
+    return np.cumsum(found, dtype=np.uint64) + np.uint64(first)
+
+
+def _block_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _BLOCK.split(", ")])
+
+
+def _in_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks come ordered by range and slice. Yields the sets (mark) with an entry that
+    another has, for each range (or many of them) once."""
+    waiting: list[tuple] = []
+    found: list[np.ndarray] = []
+
+    def sets_found() -> pa.RecordBatch:
+        marks = np.unique(np.concatenate(found))
+        found.clear()
+        return pa.RecordBatch.from_arrays([pa.array(marks.view(np.int64))], names=["mark"])
+
+    for batch in batches:
+        for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            if waiting and waiting[0][:2] != row[:2]:
+                found.append(_agreeing(waiting))
+                if waiting[0][0] != row[0] or sum(map(len, found)) > _SLICE:
+                    yield sets_found()
+                waiting.clear()
+            waiting.append(row)
+    if waiting:
+        found.append(_agreeing(waiting))
+        yield sets_found()
+
+
+def _agreeing(blocks: list[tuple]) -> np.ndarray:
+    """The sets with an entry that an unequal set has, in the blocks of one slice."""
+    keys, marks, suspects = [], [], []
+    for _, _, n, first, steps, owners, sets in blocks:
+        sets = np.frombuffer(sets, "<u8")
+        if not n:
+            suspects.append(sets)
+            continue
+        keys.append(_values(first, n, steps))
+        marks.append(sets[np.frombuffer(owners, f"<u{len(owners) // n}")])
+    if keys:
+        key, mark = np.concatenate(keys), np.concatenate(marks)
+        order = np.argsort(key, kind="stable")
+        key, mark = key[order], mark[order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        group = np.cumsum(fresh) - 1
+        unlike = np.zeros(int(group[-1]) + 1, bool)
+        unlike[group[mark != mark[np.flatnonzero(fresh)][group]]] = True
+        suspects.append(mark[unlike[group]])
+    return np.unique(np.concatenate(suspects))
+
+
+def suspected(texts: DataFrame, like: Likeness, shingles: int) -> DataFrame:
+    """(mark): the hashes of sets that may be linked with an unequal one. `shingles` is the
+    number of shingles of all sets together, which says how finely entries are dealt."""
+    many = 2 * shingles + 1
+    bits = min(64, max(40, many.bit_length() + _SPARE_BITS))
+    ranges = _RANGES + many // _RANGE
+    slices = 1 + many // ranges // _SLICE
+    blocks = texts.select("text").mapInArrow(lambda b: _blocks(b, like, bits, ranges, slices), _BLOCK)
+    dealt = blocks.repartition("range").sortWithinPartitions("range", "slice")
+    return dealt.mapInArrow(_in_common, "mark bigint").distinct()
+
+
+def _members(batches, bits: Broadcast) -> Iterator[pa.RecordBatch]:
+    for piece in pieces(batches):
+        inside = contains(bits.value, piece.column(2).to_numpy(), _PROBES)
+        yield piece.filter(pa.array(inside)).select(["id", "text"])
 
 
-def _suspects(batches, like: Likeness, bits: Broadcast) -> Iterator[pa.RecordBatch]:
-    for piece in pieces(batches):
-        values, first = sets_of(piece.column(1), like)
-        row, keys, unsure = entries(values, first, like)
-        unsure[row[contains(bits.value, keys, _PROBES)]] = True
-        yield piece.filter(pa.array(unsure & (np.diff(first) > 0)))
+def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `texts` (id, text) whose id is in `ids` (id). Most others are dropped where
+    they lie, by a bit set of fixed size."""
+    kind = dict(texts.dtypes)["id"]
+    bits = hash_bits(ids.select(F.xxhash64("id").alias("hash")), "hash", _ID_BITS, _PROBES)
+    some = texts.filter("id IS NOT NULL").withColumn("hash", F.xxhash64("id"))
+    found = store(
+        some.mapInArrow(lambda b: _members(b, bits), f"id {kind}, text string").join(ids, "id", "left_semi")
+    )
+    bits.destroy()
+    return found
 
 
 def _shingles(batches, like: Likeness) -> Iterator[pa.RecordBatch]:
     return tally((sets_of(piece.column(1), like)[0] for piece in pieces(batches)), "key")
 
 
-def _prefixes(batches, like: Likeness, shared: Broadcast) -> Iterator[pa.RecordBatch]:
-    """(key, id, size, before, map) of the shared shingles that may be the first in common."""
+def _weights(values: np.ndarray, shared: Broadcast, often: Broadcast) -> np.ndarray:
+    """Unshared shingles weigh nothing, frequent ones what they are frequent, others one."""
+    weight = contains(shared.value, values, _PROBES).astype(np.int64)
+    known, counts = often.value
+    if not len(known):
+        return weight
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return np.where(known[at] == values, counts[at], weight)
+
+
+def _prefix_of(column: pa.Array, like: Likeness, shared: Broadcast, often: Broadcast):
+    """Of the shared shingles that may be the first in common: their sets' rows, hashes and
+    numbers of shingles before them; and the size of each set."""
+    values, first = sets_of(column, like)
+    sizes = np.diff(first)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    weight = _weights(values, shared, often)
+    order = np.lexsort((values, weight, row))
+    values, weight = values[order], weight[order]
+    before = np.arange(len(row)) - first[row]
+    kept = np.flatnonzero((weight > 0) & (before <= like.prefix(sizes)[row]))
+    return row[kept], values[kept], before[kept], sizes
+
+
+def _prefix_keys(batches, like: Likeness, shared: Broadcast, often: Broadcast) -> Iterator[pa.RecordBatch]:
+    return tally((_prefix_of(piece.column(1), like, shared, often)[1] for piece in pieces(batches)), "key")
+
+
+def _prefixes(batches, like: Likeness, shared: Broadcast, often: Broadcast, met: Broadcast) -> Iterator[pa.RecordBatch]:
+    """(key, id, size, before) of these shingles, if another set may have them there as well."""
+    for piece in pieces(batches):
+        row, values, before, sizes = _prefix_of(piece.column(1), like, shared, often)
+        kept = contains(met.value, values, _PROBES)
+        row, values, before = row[kept], values[kept], before[kept]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values.view(np.int64)), piece.column(0).take(pa.array(row)),
+             pa.array(sizes[row].astype(np.int32)), pa.array(before.astype(np.int32))],
+            names=["key", "id", "size", "before"],
+        )
+
+
+def _maps(batches, like: Likeness) -> Iterator[pa.RecordBatch]:
+    """(id, size, parity map) of each set."""
     bits = 64 * len(_MAP)
     for piece in pieces(batches):
         values, first = sets_of(piece.column(1), like)
         sizes = np.diff(first)
         row = np.repeat(np.arange(len(sizes)), sizes)
-        common = contains(shared.value, values, _TOKEN_PROBES)
-        ends = np.concatenate(([0], np.cumsum(common)))
-        alone = sizes - (ends[first[1:]] - ends[first[:-1]])
-        before = alone[row] + ends[:-1] - ends[first[row]]
-        kept = np.flatnonzero(common & (before <= like.prefix(sizes)[row]))
         slot = row * bits + ((values >> np.uint64(32)) % np.uint64(bits)).astype(np.int64)
         odd = (np.bincount(slot, minlength=len(sizes) * bits) & 1).astype(np.uint8)
         maps = np.packbits(odd.reshape(-1, bits), axis=1).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(values[kept].view(np.int64)), piece.column(0).take(pa.array(row[kept])),
-             pa.array(sizes[row[kept]].astype(np.int32)), pa.array(before[kept].astype(np.int32)),
-             *(pa.array(maps[row[kept], i]) for i in range(len(_MAP)))],
-            names=["key", "id", "size", "before", *_MAP],
+            [piece.column(0), pa.array(sizes.astype(np.int32)), *(pa.array(maps[:, i]) for i in range(len(_MAP)))],
+            names=["id", "size", *_MAP],
         )
 
 
+def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent of the shingles in `counts` (key, n), sorted, and how frequent they
+    are: all from the least power of two (16 at least) that `FREQUENT` of them reach at most."""
+    sizes = counts.filter("n >= 16").groupBy(F.floor(F.log2("n")).cast("int").alias("size")).count()
+    reached, least = 0, None
+    for size, count in sorted(map(tuple, sizes.collect()), reverse=True):
+        reached += count
+        if reached > FREQUENT:
+            break
+        least = 1 << size
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    rows = counts.filter(F.col("n") >= least).select("key", "n").collect()
+    keys = np.array([x.key for x in rows], np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], np.array([x.n for x in rows], np.int64)[order]
+
+
 def _may_link(like: Likeness, a: str, b: str) -> str:
     """Whether two prefix rows leave room for a link."""
-    room = f"{100 - like.percent} * ({a}.size + {b}.size)"
-    apart = " + ".join(f"bit_count({a}.{m} ^ {b}.{m})" for m in _MAP)
     return (
         f"100 * least({a}.size, {b}.size) >= {like.percent} * greatest({a}.size, {b}.size) AND "
-        f"{100 + like.percent} * ({a}.before + {b}.before) <= {room} AND "
-        f"{100 + like.percent} * ({apart}) <= {room}"
+        f"{100 + like.percent} * ({a}.before + {b}.before) <= {100 - like.percent} * ({a}.size + {b}.size)"
     )
 
 
+def _close(pairs: DataFrame, maps: DataFrame, like: Likeness) -> DataFrame:
+    """Those of `pairs` (a, b) whose parity maps leave room for a link. An id with several
+    sets stays with any of them."""
+    apart = " + ".join(f"bit_count(x.{m} ^ y.{m})" for m in _MAP)
+    room = f"{100 + like.percent} * ({apart}) <= {100 - like.percent} * (x.size + y.size)"
+    met = pairs.alias("p").join(maps.alias("x"), F.expr("p.a = x.id")).join(maps.alias("y"), F.expr("p.b = y.id"))
+    return met.filter(room).select("p.a", "p.b").distinct()
+
+
 def _alike(batches, like: Likeness) -> Iterator[pa.RecordBatch]:
     """(a, b, text_a, text_b) to (a, b) of those that are linked."""
     for piece in pieces(batches, "text_a"):
@@ -255,16 +471,24 @@ def links(texts: DataFrame, like: Likeness) -> DataFrame:
     counts = texts.mapInArrow(lambda b: _shingles(b, like), "key bigint, n bigint").groupBy("key").agg(
         F.sum("n").alias("n")
     )
-    shared = hash_bits(counts.filter("n > 1"), "key", _TOKEN_BITS, _TOKEN_PROBES)
+    counts = store(counts.filter("n > 1"))
+    shared = hash_bits(counts, "key", _TOKEN_BITS, _PROBES)
+    often = texts.sparkSession.sparkContext.broadcast(_frequent(counts))
+    release(counts)
+    met = texts.mapInArrow(lambda b: _prefix_keys(b, like, shared, often), "key bigint, n bigint")
+    met = hash_bits(met.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1"), "key", _TOKEN_BITS, _PROBES)
     prefix = store(texts.mapInArrow(
-        lambda b: _prefixes(b, like, shared),
-        f"key bigint, id {kind}, size int, before int, " + ", ".join(f"{m} bigint" for m in _MAP),
+        lambda b: _prefixes(b, like, shared, often, met), f"key bigint, id {kind}, size int, before int"
     ))
-    shared.destroy()
-    leader = prefix.groupBy("key").agg(F.min(F.struct("before", "id", "size", *_MAP)).alias("l")).select("key", "l.*")
+    for sent in (shared, often, met):
+        sent.destroy()
+    maps = store(texts.mapInArrow(
+        lambda b: _maps(b, like), f"id {kind}, size int, " + ", ".join(f"{m} bigint" for m in _MAP)
+    ))
+    leader = prefix.groupBy("key").agg(F.min(F.struct("before", "id", "size")).alias("l")).select("key", "l.*")
     led = prefix.alias("p").join(leader.alias("l"), "key").filter("p.id <> l.id")
     stars = led.filter(_may_link(like, "p", "l")).select(F.col("p.id").alias("a"), F.col("l.id").alias("b"))
-    stars = store(_ordered(stars))
+    stars = store(_close(_ordered(stars), maps, like))
     found = store(_verified(stars, texts, like))
     known = components(found)
     placed = prefix.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -278,8 +502,11 @@ def links(texts: DataFrame, like: Likeness) -> DataFrame:
     rest = strays.alias("s").join(placed.alias("p"), "key").filter(meets).select(
         F.col("s.id").alias("a"), F.col("p.id").alias("b")
     )
-    rest = store(_ordered(rest).join(stars, ["a", "b"], "left_anti"))
-    return found.unionByName(_verified(rest, texts, like))
+    rest = store(_close(_ordered(rest).join(stars, ["a", "b"], "left_anti"), maps, like))
+    release(prefix, placed, stars, maps)
+    more = store(_verified(rest, texts, like))
+    release(rest)
+    return found.unionByName(more)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -299,18 +526,20 @@ def jaccard_components(
     one_each = store(
         digests.filter("n > 0 AND id IS NOT NULL").groupBy("n", "one", "two").agg(F.min("id").alias("first"))
     )
-    counts = texts.select("text").mapInArrow(lambda b: _counted(b, like), "key bigint, n bigint").groupBy("key").agg(
-        F.sum("n").alias("n")
+    shingles = digests.agg(F.sum("n")).first()[0] or 0
+    marks = store(suspected(texts, like, shingles))
+    firsts = store(
+        one_each.join(marks.withColumnRenamed("mark", "one"), "one", "left_semi").select(F.col("first").alias("id")).distinct()
     )
-    bits = hash_bits(counts.filter("n > 1"), "key", _BITS, _PROBES)
-    suspects = texts.filter("id IS NOT NULL").mapInArrow(lambda b: _suspects(b, like, bits), f"id {kind}, text string")
-    suspects = store(suspects.join(one_each.select(F.col("first").alias("id")).distinct(), "id", "left_semi"))
-    bits.destroy()
+    release(marks)
+    suspects = texts_of(texts, firsts)
+    found = links(suspects, like)
+    release(firsts, suspects)
     # Rows of one id hang together, whatever their sets; so do rows of one set.
     same = digests.filter("n > 0 AND id IS NOT NULL").join(one_each, ["n", "one", "two"]).select(
         F.col("id").alias("a"), F.col("first").alias("b")
     )
-    known = components(links(suspects, like).unionByName(same))
+    known = components(found.unionByName(same))
     return (
         digests.join(known, "id", "left")
         .select(

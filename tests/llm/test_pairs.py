@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
+import numpy as np
 import pytest
 
 from tallyproof.llm import ngram_join, substring_dedup
@@ -34,12 +36,12 @@ def left_after_dedup(rows):
     return found
 
 
-def classes(rows, percent=85):
+def classes(rows, percent=85, size=4):
     """doc_id -> (n_shingles, component_id) by comparing all pairs."""
     sets = {}
     for i, text in rows:
         w = WORD.findall(lower(text))
-        n = min(4, len(w))
+        n = min(size, len(w))
         sets[i] = {tuple(w[j : j + n]) for j in range(len(w) - n + 1)} if w else set()
     root = {i: i for i in sets}
 
@@ -82,6 +84,46 @@ def test_components_equal_all_pairs(documents, seed):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == classes(rows)
 
 
+def templates(seed, count=300, changes=(0, 1, 2, 3, 6, 9)):
+    """Texts of a few templates, each with words of its own from a small vocabulary."""
+    rng = random.Random(seed)
+    known = [f"w{i}" for i in range(120)]
+    bases = [[rng.choice(known) for _ in range(60)] for _ in range(3)]
+    rows = []
+    for i in range(count):
+        text = list(rng.choice(bases))
+        for _ in range(rng.choice(changes)):
+            text[rng.randrange(60)] = rng.choice(known)
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("frequent", [ngram_join.FREQUENT, 0, 40])
+def test_templates_equal_all_pairs(documents, monkeypatch, frequent):
+    monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+    rows = templates(frequent)
+    got = ngram_join.jaccard_components(documents(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == classes(rows)
+
+
+def test_steps_of_any_width():
+    for values in ([5], [5, 5, 9], [0, 1 << 33, (1 << 33) + 7], [1, 2, 1 << 63]):
+        packed = ngram_join._steps(np.array(values, np.uint64))
+        assert ngram_join._values(values[0], len(values), packed).tolist() == values
+
+
+@pytest.mark.parametrize("together,of_range,of_slice,bits", [(50, 20, 9, 13), (1 << 19, 1 << 22, 50, 50), (1, 1 << 22, 1 << 22, -40)])
+def test_blocks_of_any_size_lose_no_link(documents, monkeypatch, together, of_range, of_slice, bits):
+    monkeypatch.setattr(ngram_join, "_TOGETHER", together)
+    monkeypatch.setattr(ngram_join, "_RANGE", of_range)
+    monkeypatch.setattr(ngram_join, "_RANGES", 3)
+    monkeypatch.setattr(ngram_join, "_SLICE", of_slice)
+    monkeypatch.setattr(ngram_join, "_SPARE_BITS", bits)
+    rows = corpus(9, 90, 60)
+    got = ngram_join.jaccard_components(documents(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == classes(rows)
+
+
 def test_no_link_is_lost_at_the_border(documents):
     # Sets of 40 shingles (43 words); each changed word at the end costs one shingle.
     base = [f"w{i}" for i in range(43)]
