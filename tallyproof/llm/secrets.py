@@ -42,6 +42,9 @@ STRONG_PATTERN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 ALL = {**PATTERNS, STRONG: STRONG_PATTERN}
 _MIXED = ("[0-9]", "[A-Z]", "[a-z]")  # a strong match has all of these, anywhere
 
+# Up to so many bytes of masked places are broadcast, so the texts stay where they are.
+BROADCAST_BYTES = 64 << 20
+
 # From so many owners on, a string is taken for a copied example.
 WIDE = 3
 
@@ -187,6 +190,10 @@ def mask_live(rows: DataFrame, key: str = "doc_id", owner: str = "source", repos
     hits = gaps.groupBy("row", "_key", "_mark").agg(
         F.array_sort(F.collect_list(F.struct("from", F.col("begin").alias("to")))).alias("_parts"), F.max("stop").alias("_end")
     ).groupBy("_key", "_mark").agg(F.first("_parts").alias("_parts"), F.first("_end").alias("_end"))
+    hits = store(hits)
+    rows_hit, gaps_hit = hits.agg(F.count("*"), F.sum(F.size("_parts"))).first()
+    if 64 * rows_hit + 16 * (gaps_hit or 0) <= BROADCAST_BYTES:
+        hits = F.broadcast(hits)
     same = F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_mark"))
     data = F.col("text").cast("binary")
 
