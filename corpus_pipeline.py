@@ -3,19 +3,23 @@
 1. quality: documents the classifier rejects go. It learns from the labels of documents
    that are not held out and judges all it is given.
 2. near_duplicates: of each component of similar documents (80 percent or more of their
-   shingles of five words in common) the one with the lowest id stays (of rows with that
-   id: the one with the least text). Documents without words are similar to nothing and
-   stay; so do rows without an id.
-3. decontamination: documents with an occurrence of a benchmark window go.
+   shingles of five words in common) the one with the lowest id stays. Rows are linked each
+   by its own text, whatever rows share an id; of a component's rows with equal ids the one
+   whose text hashes lowest stays, a row without an id only if no other has one, and of rows
+   equal in id and text the least. Documents without words are similar to nothing and stay.
+3. decontamination: documents with an occurrence of a benchmark window go, by each row's own
+   text, with or without an id.
 4. secrets: live secrets are masked; strings that many owners have stay. No row goes.
 5. sentencepiece: the documents' ids, with begin and end, and the text decoded from them.
 
-All but the last return the columns of `documents`; n_chars follows an edited text.
+All but the last return the columns of `documents`; n_chars follows an edited text. In
+quality and secrets repeated rows are judged alike, each for itself. `run` removes what its
+stages store on the way, and all of its folders but that of the rows it returns; within a
+block of `intermediates` that goes with the block.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tallyproof.llm import decontaminate, ngram_join, quality, secrets, sentence_pieces
 from tallyproof.llm.queries import PIECES
-from tallyproof.llm.stored import long_texts, shared_folder, store
+from tallyproof.llm.stored import long_texts, release, settled
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -43,17 +47,25 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     long_texts(spark)
-    found = store(ngram_join.jaccard_components(docs, like=LIKE))
-    gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*map(_named, docs.columns))
-    known = found.filter("doc_id = component_id AND n_shingles > 0")
-    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return kept
-    # Rows that share an id are one document: of those the one with the least text stays.
-    shared = F.col("doc_id").isNotNull() & (F.length("text") > 0)
-    row = F.min_by(F.struct(*map(_named, docs.columns)), "text").alias("row")
-    once = kept.filter(shared).groupBy("doc_id").agg(row).select("row.*")
-    return kept.filter(~F.coalesce(shared, F.lit(False))).unionByName(once)
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    names = [_named(name) for name in docs.columns]
+    shared = docs.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1")
+    unique = shared.isEmpty()
+    # Where ids do not tell rows apart, their texts do as well.
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    own = F.col("doc_id") if unique else F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), text.alias("text"))
+    rows = docs.withColumn(row, own)
+    found = settled(spark, lambda: ngram_join.jaccard_components(rows.select(row, "text"), key=row, like=LIKE))
+    gone = found.filter(F.col("component_id") != F.col(row)).select(row).distinct()
+    kept = rows.join(gone, row, "left_anti")
+    if unique:
+        return kept.select(*names)
+    again = found.filter("n_shingles > 0").groupBy(row).count().filter("count > 1").select(row)
+    least = F.min(F.struct(*names)).alias("least")
+    once = kept.join(again, row, "left_semi").groupBy(row).agg(least).select("least.*")
+    return kept.join(again, row, "left_anti").select(*names).unionByName(once)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -94,8 +106,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages one after another; each one's rows are written and read again."""
     docs = long_texts(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    before = None
+    for _, stage in STAGES:
+        docs = settled(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+        if before is not None:
+            release(before)
+        before = docs
     return docs
