@@ -431,13 +431,17 @@ def _may_link(like: Likeness, a: str, b: str) -> str:
     )
 
 
+def _maps_close(like: Likeness, a: str, b: str) -> str:
+    """Whether the parity maps of two rows leave room for a link."""
+    apart = " + ".join(f"bit_count({a}.{m} ^ {b}.{m})" for m in _MAP)
+    return f"{100 + like.percent} * ({apart}) <= {100 - like.percent} * ({a}.size + {b}.size)"
+
+
 def _close(pairs: DataFrame, maps: DataFrame, like: Likeness) -> DataFrame:
     """Those of `pairs` (a, b) whose parity maps leave room for a link. An id with several
     sets stays with any of them."""
-    apart = " + ".join(f"bit_count(x.{m} ^ y.{m})" for m in _MAP)
-    room = f"{100 + like.percent} * ({apart}) <= {100 - like.percent} * (x.size + y.size)"
     met = pairs.alias("p").join(maps.alias("x"), F.expr("p.a = x.id")).join(maps.alias("y"), F.expr("p.b = y.id"))
-    return met.filter(room).select("p.a", "p.b").distinct()
+    return met.filter(_maps_close(like, "x", "y")).select("p.a", "p.b").distinct()
 
 
 def _alike(batches, like: Likeness) -> Iterator[pa.RecordBatch]:
@@ -496,13 +500,16 @@ def links(texts: DataFrame, like: Likeness) -> DataFrame:
         "key", F.coalesce("component", "id").alias("head")
     )
     placed = store(placed)
-    # A pair without a common component has a side outside the leader's.
-    strays = placed.join(heads, "key").filter("component <> head").drop("head")
-    meets = F.expr(f"p.component <> s.component AND {_may_link(like, 'p', 's')}")
-    rest = strays.alias("s").join(placed.alias("p"), "key").filter(meets).select(
+    # A pair without a common component has a side outside the leader's. Here many rows may
+    # meet at a key, so the parity maps are in the join.
+    strays = store(placed.join(heads, "key").filter("component <> head").drop("head").join(maps.drop("size"), "id"))
+    around = placed.join(strays.select("key").distinct(), "key", "left_semi").join(maps.drop("size"), "id")
+    meets = F.expr(f"p.component <> s.component AND {_may_link(like, 'p', 's')} AND {_maps_close(like, 'p', 's')}")
+    rest = strays.alias("s").join(around.alias("p"), (F.col("s.key") == F.col("p.key")) & meets).select(
         F.col("s.id").alias("a"), F.col("p.id").alias("b")
     )
-    rest = store(_close(_ordered(rest).join(stars, ["a", "b"], "left_anti"), maps, like))
+    rest = store(_ordered(rest).join(stars, ["a", "b"], "left_anti"))
+    release(strays)
     release(prefix, placed, stars, maps)
     more = store(_verified(rest, texts, like))
     release(rest)
