@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.llm import (
-    chat, decontaminate, manifest, merkle, ngram_join, quality, secrets, sentence_pieces, simhash, spelling,
+    chat, decontaminate, manifest, merkle, ngram_join, oracle, quality, secrets, sentence_pieces, simhash, spelling,
     substring_dedup, token_counts, toxicity,
 )
 from tallyproof.llm.stored import long_texts
@@ -116,4 +116,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_substring_dedup": oracle.OP2}
