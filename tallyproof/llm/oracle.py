@@ -1,6 +1,6 @@
 """SQL for DuckDB that gives the rows of the queries which can be written in it."""
 
-OP2 = r"
+OP2 = r"""
 WITH words AS (
     SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ),
