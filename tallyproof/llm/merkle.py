@@ -6,30 +6,43 @@ other section's borders. A section's node is a digest of its paragraphs' nodes,
 one of the sections' nodes. Equal texts have equal roots, and where two roots differ,
 comparing sections and then paragraphs leads to the edits (`differing`).
 
-Below the paragraphs the text is cut into grains, runs of about six words whose borders
-depend on the words alone. The likeness of two fingerprints is the share of grains they
-have in common (Dice's coefficient of the two bags), and 1 if the roots are equal. So a
-text that is one long paragraph can be compared as well.
-
-A fingerprint is text: ``root:section=paragraph.paragraph,section=..:grains``, in hex.
+A paragraph is cut into leaves, so that a text of one long line can be compared as well.
+Borders depend on the eight bytes before them, whatever these are: texts without blanks have
+leaves like others. A leaf has 128 code points at most. The first leaves of a text are
+smaller (`_ZONES`), one code point at its very start, and never longer than two fifths of
+what is before them. A leaf's digest covers 16 code points up to its end at least, so that
+short leaves do not agree by chance.
+
+The likeness of two fingerprints weighs nodes by their code points, from the root down: equal
+roots give 1; sections that both have count whole and nothing below them is looked at; then
+paragraphs of the other sections likewise; then leaves of the other paragraphs. It is twice
+the weight in common divided by the weight of both texts. If the first half of a text
+stands and the rest is replaced by no more than was there, that is 0.3 or more.
+
+A fingerprint is text: ``root:section=paragraph.paragraph,section=..:leaves.leaves``, in hex,
+with the leaves of each paragraph in order (24 bits of digest and the size).
 A null text is fingerprinted as the empty text.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.columns import add_columns, buffers, span_hash, text_array, words
+from tallyproof.llm.columns import add_columns, buffers, mix, ragged, span_hash, text_array
 
-GRAIN_WORDS = 6
 SECTION_PARAGRAPHS = 4
-_GRAIN_BYTES = 3
+# From this place in a text on: a border at one code point in so many, and the longest leaf.
+_ZONES = ((0, 1, 1), (8, 2, 3), (16, 4, 6), (32, 8, 12), (64, 16, 24), (128, 32, 48), (512, 64, 128))
+_CONTEXT = 16
 _BATCH_CHARS = 1 << 20
 
 
@@ -50,60 +63,116 @@ def tree(text: bytes) -> tuple[str, list[tuple[str, list[str]]]]:
     return root.hex(), [(node.hex()[:16], [x.hex()[:16] for x in below]) for node, below in nodes]
 
 
-def grains(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Digests of the grains of all texts, as 24-bit numbers, and where each text's start
-    (and the end)."""
-    w = words(column)
-    if not len(w.starts):
-        return np.zeros(0, np.uint32), np.zeros(len(column) + 1, np.int64)
-    last = w.hashes() % np.uint64(GRAIN_WORDS) == 0
-    last[w.first[1:][w.first[1:] > w.first[:-1]] - 1] = True
-    stops = np.flatnonzero(last)
-    starts = np.concatenate(([0], stops[:-1] + 1))
-    values = span_hash(w.data, w.starts[starts], w.ends[stops])
-    return (values >> np.uint64(40)).astype(np.uint32), np.searchsorted(stops, w.first)
+@dataclass
+class Fingerprint:
+    root: str
+    sections: list[tuple[str, list[str]]]
+    leaves: np.ndarray  # 24 bits of digest, eight of size
+    first: np.ndarray  # where each paragraph's leaves start, and the end
+
+    def __str__(self) -> str:
+        packed = self.leaves.astype("<u4").tobytes().hex()
+        below = ".".join(packed[8 * a : 8 * b] for a, b in zip(self.first[:-1], self.first[1:], strict=True))
+        middle = ",".join(f"{node}={'.'.join(paragraphs)}" for node, paragraphs in self.sections)
+        return f"{self.root}:{middle}:{below}"
+
+
+def read(fingerprint: str) -> Fingerprint:
+    """A fingerprint from its text."""
+    top, middle, below = fingerprint.split(":")
+    sections = [(x.split("=")[0], x.split("=")[1].split(".")) for x in middle.split(",") if x]
+    packed = below.split(".") if sections else []
+    first = np.cumsum([0] + [len(x) // 8 for x in packed])
+    return Fingerprint(top, sections, np.frombuffer(bytes.fromhex("".join(packed)), "<u4"), first)
 
 
-def fingerprints(column: pa.Array) -> tuple[list[str], list[np.ndarray]]:
-    """Fingerprints of texts, and their grains sorted."""
+def leaves(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The leaves of all texts, where each text's start (and the end), and which leaves start
+    a paragraph."""
+    data, offsets = buffers(column)
+    points = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(points):
+        return np.zeros(0, np.uint32), np.zeros(len(column) + 1, np.int64), np.zeros(0, bool)
+    first = np.searchsorted(points, offsets)
+    text_start = np.repeat(first[:-1], np.diff(first))
+    place = np.arange(len(points)) - text_start
+    begins, one_in, longest = (np.array(x) for x in zip(*_ZONES, strict=True))
+    zone = np.searchsorted(begins, place, "right") - 1
+    padded = np.concatenate((np.zeros(8, np.uint8), data))
+    before = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))[points]
+    line = place == 0
+    previous = data[points - 1]
+    line |= (previous == 0x0A) | ((previous == 0x0D) & (data[points] != 0x0A))
+    border = line | (place == begins[zone]) | (mix(before) & (one_in[zone] - 1).astype(np.uint64) == 0)
+    start = np.flatnonzero(border)
+    gap, most = np.diff(start, append=len(points)), longest[zone[start]]
+    parts = -(-gap // most)
+    start = np.repeat(start, parts) + ragged(np.zeros(len(start), np.int64), parts) * np.repeat(most, parts)
+    stop = np.append(start[1:], len(points))
+    context = np.maximum(text_start[start], np.minimum(start, stop - _CONTEXT))
+    ends = np.append(points, len(data))
+    digest = span_hash(data, ends[context], ends[stop])
+    values = (digest >> np.uint64(40) << np.uint64(8) | (stop - start).astype(np.uint64)).astype(np.uint32)
+    return values, np.searchsorted(start, first), line[start]
+
+
+def fingerprints(column: pa.Array) -> list[Fingerprint]:
     data, offsets = buffers(column)
     view = data.tobytes()
-    values, first = grains(column)
-    texts, bags = [], []
+    values, first, opens = leaves(column)
+    found = []
     for i in range(len(column)):
         root, sections = tree(view[offsets[i] : offsets[i + 1]])
-        own = values[first[i] : first[i + 1]]
-        middle = ",".join(f"{node}={'.'.join(below)}" for node, below in sections)
-        packed = own.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :_GRAIN_BYTES].tobytes()
-        texts.append(f"{root}:{middle}:{packed.hex()}")
-        bags.append(np.sort(own))
-    return texts, bags
+        own = slice(first[i], first[i + 1])
+        found.append(Fingerprint(root, sections, values[own], np.append(np.flatnonzero(opens[own]), own.stop - own.start)))
+    return found
 
 
 def root(fingerprint: str) -> str:
     return fingerprint.split(":", 1)[0]
 
 
-def bag(fingerprint: str) -> np.ndarray:
-    """Sorted grains of a fingerprint."""
-    packed = np.frombuffer(bytes.fromhex(fingerprint.rsplit(":", 1)[1]), np.uint8).reshape(-1, _GRAIN_BYTES)
-    return np.sort(packed @ np.array([1, 1 << 8, 1 << 16], np.uint32))
+def _without(nodes: list[str], others: list[str]) -> list[int]:
+    """Positions of `nodes` left when each has been matched with an equal one of `others`."""
+    spare = Counter(others)
+    found = []
+    for i, node in enumerate(nodes):
+        if spare[node]:
+            spare[node] -= 1
+        else:
+            found.append(i)
+    return found
 
 
-def in_common(a: np.ndarray, b: np.ndarray) -> int:
-    """Size of the intersection of two sorted bags."""
-    values, counts = np.unique(a, return_counts=True)
-    there = np.searchsorted(b, values, "right") - np.searchsorted(b, values, "left")
-    return int(np.minimum(there, counts).sum())
+def _below(fingerprint: Fingerprint, sections: list[int]) -> list[int]:
+    """Positions of the paragraphs of sections."""
+    ends = np.cumsum([0] + [len(below) for _, below in fingerprint.sections]).tolist()
+    return [x for i in sections for x in range(ends[i], ends[i + 1])]
 
 
-def likeness(a: str, b: str, a_bag: np.ndarray | None = None, b_bag: np.ndarray | None = None) -> float:
+def likeness(a: Fingerprint | str, b: Fingerprint | str) -> float:
     """How alike two fingerprints are, from 0 to 1."""
-    if root(a) == root(b):
+    a, b = (read(x) if isinstance(x, str) else x for x in (a, b))
+    if a.root == b.root:
         return 1.0
-    a_bag, b_bag = (bag(a) if a_bag is None else a_bag), (bag(b) if b_bag is None else b_bag)
-    total = len(a_bag) + len(b_bag)
-    return 2 * in_common(a_bag, b_bag) / total if total else 0.0
+    names = [[node for node, _ in x.sections] for x in (a, b)]
+    paragraphs = [[node for _, below in x.sections for node in below] for x in (a, b)]
+    left = []
+    for x, own, other in ((a, 0, 1), (b, 1, 0)):
+        left.append(_below(x, _without(names[own], names[other])))
+    nodes = [[paragraphs[i][at] for at in left[i]] for i in (0, 1)]
+    rest = []
+    for x, own, other in ((a, 0, 1), (b, 1, 0)):
+        at = np.array([left[own][i] for i in _without(nodes[own], nodes[other])], np.int64)
+        rest.append(x.leaves[ragged(x.first[at], x.first[at + 1] - x.first[at])])
+    total = [int((x.leaves & 0xFF).sum()) for x in (a, b)]
+    # What has been matched above the leaves weighs the same on both sides.
+    common = total[0] - int((rest[0] & 0xFF).sum())
+    values, counts = np.unique(rest[0], return_counts=True)
+    other = np.sort(rest[1])
+    there = np.searchsorted(other, values, "right") - np.searchsorted(other, values, "left")
+    common += int((np.minimum(there, counts) * (values & 0xFF).astype(np.int64)).sum())
+    return 2 * common / sum(total)
 
 
 def differing(a: str, b: str) -> tuple[list[int], list[int]]:
@@ -133,7 +202,7 @@ def fingerprint(rows: DataFrame, text: str = "text") -> DataFrame:
     """Adds the column fingerprint (replacing one of that name)."""
     return add_columns(
         rows, text, ["fingerprint string"],
-        lambda: lambda column: [pa.array(fingerprints(text_array(column))[0], pa.string())],
+        lambda: lambda column: [pa.array(map(str, fingerprints(text_array(column))), pa.string())],
     )
 
 
@@ -147,43 +216,42 @@ def edited_with_next(rows: DataFrame, key: str = "doc_id", text: str = "text") -
 
     Rows are cut into ranges of the key; the first rows of a range also go to the range
     before it, as what follows its last row. So the texts are shuffled once, and no order
-    of the whole table is ever in one place. Only range borders reach the driver.
+    of the whole table is ever in one place. Only the lowest key of each range reaches the
+    driver. Keys may be of any type that can be sorted.
     """
     spark = rows.sparkSession
     kind = rows.schema[key].dataType.simpleString()
-    # A null key comes first and needs a place of its own among the ranges.
     known = rows.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shares = ", ".join(str(i / ranges) for i in range(1, ranges))
-    borders = []
-    if ranges > 1:
-        quantiles = known.agg(F.expr(f"percentile_approx(k, array({shares}), 10000)")).first()[0]
-        borders = sorted(set(quantiles or []))
-    passed = F.filter(F.array(*map(F.lit, borders)), lambda b: F.col("k") > b)
-    part = F.when(F.col("k").isNotNull(), F.size(passed)).otherwise(0) if borders else F.lit(0)
-    placed = known.withColumn("part", part)
-    # The lowest key of each range, read from the key column alone: one row a range.
-    heads = placed.groupBy("part").agg(
-        F.min("k").alias("low"), F.max(F.col("k").isNull()).alias("void")
-    ).orderBy("part").collect()
-    lows = [None if x.void else x.low for x in heads]
-    before = [heads[i - 1].part for i in range(len(heads))]
-    at = F.array_position(F.array(*[F.lit(x) for x in lows if x is not None]), F.col("k"))
-    targets = [b for b, x in zip(before, lows, strict=True) if x is not None]
-    target = F.get(F.array(*map(F.lit, targets)), (at - 1).cast("int")) if targets else F.lit(None)
-    if None in lows:
-        target = F.when(F.col("k").isNull(), F.lit(before[lows.index(None)])).otherwise(target)
-    follows = known.withColumn("part", target.cast("int")).filter("part IS NOT NULL")
-    follows = follows.withColumn("after", F.lit(True))
+    # The keys alone are cut into ranges; equal keys are in one.
+    cut = known.select("k").filter("k IS NOT NULL").repartitionByRange(ranges, "k")
+    lows = sorted(x.low for x in cut.groupBy(F.spark_partition_id()).agg(F.min("k").alias("low")).collect())
+    void = not known.filter("k IS NULL").isEmpty()
+    # Null keys come first, in the first range.
+    heads = ([None] if void else lows[:1]) + lows[1:]
+    if not heads:
+        return spark.createDataFrame([], _EDITED.format(kind=kind)).withColumnRenamed("k", key)
+
+    @F.arrow_udf("int")
+    def part(keys: pa.Array) -> pa.Array:
+        return pa.array([0 if x is None else max(0, bisect.bisect_right(lows, x) - 1) for x in keys.to_pylist()], pa.int32())
+
+    placed = known.withColumn("part", part("k"))
+    before = [(x, (i - 1) % len(heads)) for i, x in enumerate(heads)]
+    borders = spark.createDataFrame(before, f"low {kind}, part int")
+    # One row a range is broadcast.
+    follows = known.join(F.broadcast(borders), F.col("k").eqNullSafe(F.col("low"))).drop("low")
     # Of many rows with a border's key the one with the least text follows.
-    follows = follows.groupBy("part", "k", "after").agg(F.min("t").alias("t"))
+    follows = follows.groupBy("part", "k").agg(F.min("t").alias("t")).withColumn("after", F.lit(True))
     dealt = placed.withColumn("after", F.lit(False)).unionByName(follows)
     ordered = dealt.repartition(max(1, len(heads)), "part").sortWithinPartitions("part", "after", "k", "t")
-    return ordered.select("part", "after", "k", "t").mapInArrow(
-        _edited,
-        f"k {kind}, n_chars bigint, edited_sha256 string, fingerprint string, "
-        "edited_fingerprint string, near_edited double, near_next double",
-    ).withColumnRenamed("k", key)
+    return ordered.select("part", "after", "k", "t").mapInArrow(_edited, _EDITED.format(kind=kind)).withColumnRenamed("k", key)
+
+
+_EDITED = (
+    "k {kind}, n_chars bigint, edited_sha256 string, fingerprint string, "
+    "edited_fingerprint string, near_edited double, near_next double"
+)
 
 
 def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,28 +283,20 @@ def _compared(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
         half = len(text) // 2
         edited.append(text[: len(text) - half] + following[:half])
     # A row's text is the text that follows the row before it, so most are made once.
-    own, bags = fingerprints(pa.array([x[1] for x in rows], pa.string()))
-    new, new_bags = fingerprints(pa.array(edited, pa.string()))
-    last, last_bag = fingerprints(pa.array([rows[-1][2]], pa.string()))
-    chained = [rows[i][2] is rows[i + 1][1] for i in range(len(rows) - 1)]
-    near_next = []
-    for i in range(len(rows)):
-        if i + 1 == len(rows):
-            other, other_bag = last[0], last_bag[0]
-        elif chained[i]:
-            other, other_bag = own[i + 1], bags[i + 1]
-        else:
-            one, one_bag = fingerprints(pa.array([rows[i][2]], pa.string()))
-            other, other_bag = one[0], one_bag[0]
-        near_next.append(likeness(own[i], other, bags[i], other_bag))
-    near_edited = [likeness(a, b, x, y) for a, b, x, y in zip(own, new, bags, new_bags, strict=True)]
+    own, new = (fingerprints(pa.array(x, pa.string())) for x in ([x[1] for x in rows], edited))
+    chained = [rows[i][2] is rows[i + 1][1] for i in range(len(rows) - 1)] + [False]
+    following = [
+        own[i + 1] if chained[i] else fingerprints(pa.array([rows[i][2]], pa.string()))[0] for i in range(len(rows))
+    ]
+    near_edited = [likeness(a, b) for a, b in zip(own, new, strict=True)]
+    near_next = [likeness(a, b) for a, b in zip(own, following, strict=True)]
     return pa.RecordBatch.from_arrays(
         [
             pa.array([x[0] for x in rows], kind),
             pa.array([len(x[1]) for x in rows], pa.int64()),
             pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited], pa.string()),
-            pa.array(own, pa.string()),
-            pa.array(new, pa.string()),
+            pa.array(map(str, own), pa.string()),
+            pa.array(map(str, new), pa.string()),
             pa.array(near_edited, pa.float64()),
             pa.array(near_next, pa.float64()),
         ],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -14,6 +15,7 @@ import sentencepiece
 import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyproof.llm import chat, decontaminate, merkle, secrets, sentence_pieces, token_counts
 from tallyproof.llm.queries import BYTE_PAIRS, PIECES
@@ -102,7 +104,7 @@ def test_fingerprints_and_next_texts(documents):
         half = len(text) // 2
         edited = text[: len(text) - half] + after[:half]
         assert got[i].n_chars == len(text) and got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        own, new, following = merkle.fingerprints(pa.array([text, edited, after]))[0]
+        own, new, following = map(str, merkle.fingerprints(pa.array([text, edited, after])))
         assert (got[i].fingerprint, got[i].edited_fingerprint) == (own, new)
         assert got[i].near_edited == pytest.approx(merkle.likeness(own, new))
         assert got[i].near_next == pytest.approx(merkle.likeness(own, following))
@@ -111,10 +113,96 @@ def test_fingerprints_and_next_texts(documents):
 def test_fingerprints_locate_edits():
     lines = [f"line {i} has words of its own {i * i}\n" for i in range(60)]
     other = lines[:20] + ["changed\n"] + lines[21:40] + lines[41:]
-    a, b = merkle.fingerprints(pa.array(["".join(lines), "".join(other)]))[0]
+    a, b = map(str, merkle.fingerprints(pa.array(["".join(lines), "".join(other)])))
     assert merkle.differing(a, b) == ([20, 40], [20]) and merkle.differing(a, a) == ([], [])
     assert merkle.root(a) != merkle.root(b) and 0.8 < merkle.likeness(a, b) < 1
-    assert merkle.likeness(a, a) == 1 and merkle.likeness(a, merkle.fingerprints(pa.array([""]))[0][0]) == 0
+    assert merkle.likeness(a, a) == 1 and merkle.likeness(a, str(merkle.fingerprints(pa.array([""]))[0])) == 0
+
+
+def _by_leaves(a, b):
+    """Likeness by definition, with sections, paragraphs and leaves as lists of nodes."""
+    def nodes(x):
+        at, found = 0, []
+        for name, below in x.sections:
+            own = []
+            for node in below:
+                own.append((node, x.leaves[x.first[at] : x.first[at + 1]].tolist()))
+                at += 1
+            found.append((name, own))
+        return found
+
+    def weight(found):
+        return sum(leaf & 0xFF for leaf in found)
+
+    def take(left, right):
+        common, kept = 0, []
+        right = list(right)
+        for node in left:
+            same = next((i for i, x in enumerate(right) if x[0] == node[0]), None)
+            if same is None:
+                kept.append(node)
+            else:
+                common += weight(_flat(node[1]))
+                del right[same]
+        return common, kept, right
+
+    one, two = nodes(a), nodes(b)
+    found, one, two = take(one, two)
+    more, one, two = take([x for _, own in one for x in own], [x for _, own in two for x in own])
+    left, right = [x for _, own in one for x in own], [x for _, own in two for x in own]
+    for leaf in left:
+        if leaf in right:
+            right.remove(leaf)
+            more += leaf & 0xFF
+    return 2 * (found + more) / (weight(a.leaves.tolist()) + weight(b.leaves.tolist()))
+
+
+def _flat(nodes):
+    """All leaves below nodes."""
+    for node in nodes:
+        yield from ([node] if isinstance(node, int) else _flat(node[1]))
+
+
+def _half_texts():
+    rng = random.Random(5)
+    cjk = "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(3000))
+    token = "".join(rng.choice("abcdefgh0123") for _ in range(5000))
+    few = " ".join(rng.choice(["spam", "egg"]) for _ in range(400))
+    lines = "\n".join(" ".join(rng.choice(["a", "bc", "def", "ghij"]) for _ in range(9)) for _ in range(70))
+    return [cjk, token, few, lines, "one two three four five six", "x" * 700, "ab", "abc", "é😀é😀é", "😀" * 90 + "a" * 90]
+
+
+def test_an_unchanged_half_shows():
+    texts = [x for x in [*_half_texts(), *(text for _, text in corpus(12, 120))] if len(x) > 1]
+    rng = random.Random(8)
+    for text in texts:
+        for following in (rng.choice(texts), "".join(rng.choice("QRSTUV") for _ in range(len(text))), "文" * len(text), ""):
+            half = len(text) // 2
+            pair = merkle.fingerprints(pa.array([text, text[: len(text) - half] + following[:half]]))
+            assert merkle.likeness(*pair) >= 0.3, text[:40]
+            assert merkle.likeness(*map(str, pair)) == merkle.likeness(*pair)
+
+
+def test_likeness_goes_down_the_tree():
+    rng = random.Random(3)
+    lines = [" ".join(rng.choice(["red", "green", "blue", "grey"]) for _ in range(rng.randrange(1, 40))) for _ in range(30)]
+    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 25))) + rng.choice(["", "\r\n", "\r"]) for _ in range(40)]
+    prints = merkle.fingerprints(pa.array(texts))
+    for text, own in zip(texts, prints, strict=True):
+        assert len(own.first) - 1 == len(text.splitlines()) and int((own.leaves & 0xFF).sum()) == len(text)
+        assert str(merkle.read(str(own))) == str(own)
+    for a, b in itertools.pairwise(prints):
+        if a.root != b.root:
+            assert merkle.likeness(a, b) == pytest.approx(_by_leaves(a, b))
+
+
+def test_keys_may_be_text(documents):
+    rows = [(i, text) for i, text in corpus(9, 40)]
+    table = documents(rows)
+    by_text = table.withColumn("doc_id", F.format_string("%06d", "doc_id"))
+    got = {int(r.doc_id): r for r in merkle.edited_with_next(by_text).collect()}
+    for r in merkle.edited_with_next(table).collect():
+        assert (got[r.doc_id].edited_sha256, got[r.doc_id].near_next) == (r.edited_sha256, r.near_next)
 
 
 def test_benchmark_windows_equal_brute_force(documents, spark):
