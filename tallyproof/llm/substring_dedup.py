@@ -8,8 +8,11 @@ its seed, so equal windows have equal seeds wherever they are, and one window in
 a seed of its own. Windows in a row with the same seed travel together: the seed's hash,
 the document, the place, and the hash of each window, which extend the seed to the left
 and right as far as this seed is theirs. Where equal seeds meet, each window's lowest
-document is known, and matching windows next to each other make maximal repeats when a
-document's spans are put together.
+document is known, its partner, and the lowest place there. Spans of one document, one
+partner and one diagonal (place minus place) that follow each other are joined across seeds,
+which extends them both ways to maximal repeats (`maximal_repeats`); those of `least` words
+or more are kept. A text that repeats itself may change its diagonal where the lowest place
+of a window in the partner does.
 
 * Most seeds occur once. They are counted first (64-bit hashes only, summed in the map
   tasks); a bit set of fixed size then keeps windows of other seeds out of the shuffle.
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyproof.llm.bits import contains, hash_bits
@@ -45,6 +48,8 @@ HOT_SEEDS = 100_000
 _TOGETHER = 50_000  # rows compared at once
 
 _KEYS = ["id", "twin"]
+_SPAN = "id {kind}, twin bigint, begin int, stop int, partner {kind}, partner_twin bigint, partner_begin int"
+_SPAN_NAMES = [x.split()[0] for x in _SPAN.split(", ")]
 
 
 def _seeds(column: pa.Array):
@@ -105,8 +110,8 @@ def _runs(texts: DataFrame, bits, hot, want_hot: bool) -> DataFrame:
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come ordered by seed. Yields (id, twin, place) of each window that also starts
-    in a smaller document, as spans of windows."""
+    """Rows come ordered by seed. Yields the windows that also start in a smaller document,
+    as spans (`_SPAN`)."""
     waiting: list[pa.RecordBatch] = []
     rows = 0
     for batch in batches:
@@ -134,28 +139,37 @@ def _repeats(rows: pa.Table) -> Iterator[pa.RecordBatch]:
     sizes = np.diff(np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]) // 8
     hashes = np.frombuffer(b"".join(packed.to_pylist()), np.uint64)
     row = np.repeat(np.arange(len(rows)), sizes)
-    ids = rows.column("id").to_numpy()
+    ids, twins, places = (rows.column(x).to_numpy() for x in ("id", "twin", "place"))
+    ends = np.cumsum(sizes)
+    place = places[row] + np.arange(len(row)) - (ends - sizes)[row]
+    rank = np.empty(len(rows), np.int64)
+    rank[np.lexsort((places, twins, ids))] = np.arange(len(rows))
     group = np.cumsum(np.concatenate(([0], seeds[1:] != seeds[:-1])))
-    order = np.lexsort((ids[row], hashes, group[row]))
-    row, hashes = row[order], hashes[order]
+    # Of equal windows the first has the lowest document, twin and place.
+    order = np.lexsort((rank[row], hashes, group[row]))
+    ordered, at = hashes[order], group[row[order]]
     fresh = np.ones(len(row), bool)
-    fresh[1:] = (hashes[1:] != hashes[:-1]) | (group[row[1:]] != group[row[:-1]])
-    lowest = ids[row[np.flatnonzero(fresh)]][np.cumsum(fresh) - 1]
-    hit = np.sort(order[ids[row] > lowest])
+    fresh[1:] = (ordered[1:] != ordered[:-1]) | (at[1:] != at[:-1])
+    lead = np.empty(len(row), np.int64)
+    lead[order] = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+    hit = np.flatnonzero(ids[row] > ids[row[lead]])
     if not len(hit):
         return
-    row = np.repeat(np.arange(len(rows)), sizes)[hit]
-    ends = np.cumsum(sizes)
-    place = rows.column("place").to_numpy()[row] + hit - (ends - sizes)[row]
+    lead, row, own = lead[hit], row[hit], place[hit]
+    partner, there = np.searchsorted(ends, lead, "right"), place[lead]
     fresh = np.ones(len(hit), bool)
-    fresh[1:] = (place[1:] != place[:-1] + 1) | (row[1:] != row[:-1])
+    fresh[1:] = (
+        (own[1:] != own[:-1] + 1) | (row[1:] != row[:-1]) | (there[1:] != there[:-1] + 1)
+        | (ids[partner[1:]] != ids[partner[:-1]]) | (twins[partner[1:]] != twins[partner[:-1]])
+    )
     first = np.flatnonzero(fresh)
-    which = pa.array(row[first])
+    stop = own[first] + np.diff(first, append=len(hit)) + WINDOW - 1
+    which, with_which = pa.array(row[first]), pa.array(partner[first])
+    columns = [rows.column(x).combine_chunks() for x in ("id", "twin")]
     yield pa.RecordBatch.from_arrays(
-        [rows.column("id").combine_chunks().take(which), rows.column("twin").combine_chunks().take(which),
-         pa.array(place[first].astype(np.int32)),
-         pa.array((place[first] + np.diff(first, append=len(hit)) + WINDOW - 1).astype(np.int32))],
-        names=["id", "twin", "begin", "stop"],
+        [*(x.take(which) for x in columns), pa.array(own[first].astype(np.int32)), pa.array(stop.astype(np.int32)),
+         *(x.take(with_which) for x in columns), pa.array(there[first].astype(np.int32))],
+        names=_SPAN_NAMES,
     )
 
 
@@ -177,16 +191,20 @@ def _often(runs: DataFrame) -> DataFrame:
     kind = dict(runs.dtypes)["id"]
     each = store(runs.mapInArrow(unfold, f"seed bigint, hash bigint, id {kind}, twin bigint, place int"))
     lowest = (
-        each.groupBy("seed", "hash").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
+        each.groupBy("seed", "hash").agg(F.min(F.struct("id", "twin", "place")).alias("l"), F.max("id").alias("most"))
+        .filter("l.id < most").drop("most")
     )
-    return each.join(lowest, ["seed", "hash"]).filter("id > least").selectExpr(
-        "id", "twin", "place AS begin", f"place + {WINDOW} AS stop"
+    return each.join(lowest, ["seed", "hash"]).filter("id > l.id").selectExpr(
+        "id", "twin", "place AS begin", f"place + {WINDOW} AS stop",
+        "l.id AS partner", "l.twin AS partner_twin", "l.place AS partner_begin",
     )
 
 
 def repeats(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, twin, begin, stop): spans of words covered by windows that also start in a
-    smaller document. `twin` tells apart rows with the same id; it is 0 if ids are unique."""
+    """(id, twin, begin, stop, partner, partner_twin, partner_begin): spans of words covered
+    by windows that also start in a smaller document, the lowest of these, and the lowest
+    place there. A span ends where its seed does, if not before. `twin` tells apart rows with
+    the same id; it is 0 if ids are unique."""
     texts = _texts(rows, key, text).filter("id IS NOT NULL")
     spark = rows.sparkSession
     counts = (
@@ -203,11 +221,34 @@ def repeats(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     found = (
         _runs(texts, bits, often, False)
         .repartition("seed").sortWithinPartitions("seed")
-        .mapInArrow(_compared, f"id {kind}, twin bigint, begin int, stop int")
+        .mapInArrow(_compared, _SPAN.format(kind=kind))
     )
     return found.unionByName(_often(_runs(texts, bits, often, True))) if hot else found
 
 
+def maximal_repeats(
+    rows: DataFrame, key: str = "doc_id", text: str = "text", least: int = WINDOW
+) -> DataFrame:
+    """Repeats of `least` words or more, with the columns of `repeats`: spans of a document
+    and its partner that are next to each other in both are one.
+
+    Rows are dealt by the document alone, so what groups its spans afterwards shuffles
+    nothing; there are at most as many as it has words."""
+    found = repeats(rows, key, text).repartition(*_KEYS)
+    own = Window.partitionBy(*_KEYS, "partner", "partner_twin", F.col("partner_begin") - F.col("begin")).orderBy("begin")
+    # Windows that follow each other overlap in all words but one.
+    apart = F.coalesce(F.col("begin") > F.lag("stop").over(own) - (WINDOW - 1), F.lit(True))
+    number = F.sum(F.col("apart").cast("int")).over(own)
+    joined = found.withColumn("apart", apart).withColumn("number", number)
+    shift = (F.col("partner_begin") - F.col("begin")).alias("shift")
+    return (
+        joined.groupBy(*_KEYS, "partner", "partner_twin", shift, "number")
+        .agg(F.min("begin").alias("begin"), F.max("stop").alias("stop"), F.min("partner_begin").alias("partner_begin"))
+        .filter(F.col("stop") - F.col("begin") >= least)
+        .select(*_KEYS, "begin", "stop", "partner", "partner_twin", "partner_begin")
+    )
+
+
 def _texts(rows: DataFrame, key: str, text: str) -> DataFrame:
     texts = rows.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     ids = rows.select(F.col(f"`{key}`").alias("id")).filter("id IS NOT NULL")
@@ -247,10 +288,12 @@ def _kept(batches: Iterator[pa.RecordBatch], sums: bool) -> Iterator[pa.RecordBa
 
 
 def dedup_substrings(
-    rows: DataFrame, key: str = "doc_id", text: str = "text", digests: bool = False
+    rows: DataFrame, key: str = "doc_id", text: str = "text", digests: bool = False, least: int = WINDOW
 ) -> DataFrame:
-    """key, n_words, n_removed and kept: the kept words joined by one space, or its SHA-256."""
-    spans = repeats(rows, key, text).groupBy(*_KEYS).agg(
+    """key, n_words, n_removed and kept: the kept words joined by one space, or its SHA-256.
+
+    Words of maximal repeats of `least` words or more go."""
+    spans = maximal_repeats(rows, key, text, least).groupBy(*_KEYS).agg(
         F.collect_list("begin").alias("begins"), F.collect_list("stop").alias("stops")
     )
     texts = _texts(rows, key, text)

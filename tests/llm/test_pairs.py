@@ -77,6 +77,49 @@ def test_dedup_compares_across_batches(documents, monkeypatch):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == left_after_dedup(rows)
 
 
+def maximal(rows, least=13):
+    """(id, begin, stop, partner, partner_begin) of maximal repeats, by looking at all windows."""
+    words = {i: WORD.findall(text or "") for i, text in rows}
+    lowest, found = {}, set()
+    for i in sorted(words):
+        for j in range(len(words[i]) - 12):
+            lowest.setdefault(tuple(words[i][j : j + 13]), (i, j))
+    for i, own in words.items():
+        runs = []
+        for j in range(len(own) - 12):
+            partner, place = lowest[tuple(own[j : j + 13])]
+            if partner == i:
+                continue
+            if runs and runs[-1][1] == j + 12 and (runs[-1][2], runs[-1][3] - runs[-1][0]) == (partner, place - j):
+                runs[-1][1] = j + 13
+            else:
+                runs.append([j, j + 13, partner, place])
+        found |= {(i, *run) for run in runs if run[1] - run[0] >= least}
+    return found
+
+
+@pytest.mark.parametrize(("seed", "hot", "least"), [(1, False, 13), (2, True, 13), (5, False, 25), (7, True, 20)])
+def test_maximal_repeats_equal_all_windows(documents, monkeypatch, seed, hot, least):
+    if hot:
+        monkeypatch.setattr(substring_dedup, "HOT_ROWS", 3)
+    repeated = [(1000, "a b " * 40), (1001, "x " + "a b " * 30), (999, "b a " * 9 + "c " * 30)]
+    rows = corpus(seed) + repeated
+    got = substring_dedup.maximal_repeats(documents(rows), least=least).collect()
+    assert {(r.id, r.begin, r.stop, r.partner, r.partner_begin) for r in got} == maximal(rows, least)
+    assert len(got) == len(maximal(rows, least)) > 0
+    words = {i: WORD.findall(text) for i, text in rows}
+    for r in got:
+        there = words[r.partner][r.partner_begin : r.partner_begin + r.stop - r.begin]
+        assert words[r.id][r.begin : r.stop] == there and r.partner < r.id
+
+
+def test_shorter_repeats_stay(documents):
+    rows = [(1, " ".join(f"w{i}" for i in range(40))), (2, " ".join(f"w{i}" for i in range(10, 30)))]
+    table = documents(rows)
+    assert [r.n_removed for r in substring_dedup.dedup_substrings(table, least=20).orderBy("doc_id").collect()] == [0, 20]
+    assert [r.n_removed for r in substring_dedup.dedup_substrings(table, least=21).orderBy("doc_id").collect()] == [0, 0]
+
+
 @pytest.mark.parametrize("seed", [3, 4, 6])
 def test_components_equal_all_pairs(documents, seed):
     rows = corpus(seed, 220, 60 if seed == 6 else 400)
