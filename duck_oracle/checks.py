@@ -275,6 +275,38 @@ def _detail_sql() -> str:
     )
 
 
+def _skipped_sql() -> str:
+    """Head rows by head table first, each section's from its tables after that."""
+    blank = "trim(coalesce(entry_date, '')) = ''"
+    tables = []
+    for slug in SLUGS:
+        span = "true" if slug == "expiry_in" else f"ts >= {D} AND ts {'<' if slug in ('sale', 'b2c_sale') else '<='} {T}"
+        usable = "num IS NOT NULL" if slug in ("b2c_sale", "expiry_in") else "ok"
+        tables.append(f"""
+          SELECT '{slug}' AS slug, db, CAST({blank} AS INTEGER) AS blank, CAST(NOT {blank} AND ts IS NULL AS INTEGER) AS bad,
+            CASE WHEN branch_id IS NOT NULL AND {span} THEN
+              CASE WHEN coalesce(entry_number, '') = '' THEN 'none' WHEN {usable} THEN 'used' ELSE 'bad' END END AS numbering
+          FROM heads WHERE dom = {SLUGS.index(slug)}""")
+    sections = []
+    for db, name in ((0, "RMS"), (1, "DMS")):
+        for slug, sheet in zip(SLUGS, SHEETS):
+            for prefix, title, _ in FAMILIES:
+                read = [slug]
+                if prefix == "high_qty" and slug not in _ITEM_NAMES and slug != "purchase":
+                    read.append("purchase")
+                dates = 0 if (prefix, slug) == ("seq_gap", "expiry_in") else 1
+                numbers = 1 if prefix == "seq_gap" else 0
+                among = ", ".join(f"'{s}'" for s in read)
+                sections.append(f"""
+                  SELECT '{name}' AS source_db, '{sheet}' AS sheet, '{title}' AS check_title,
+                    CAST(coalesce(sum({dates} * blank), 0) AS BIGINT) AS undated,
+                    CAST(coalesce(sum({dates} * bad), 0) AS BIGINT) AS malformed_dates,
+                    {numbers} * count(*) FILTER (numbering = 'none') AS unnumbered,
+                    {numbers} * count(*) FILTER (numbering = 'bad') AS malformed_numbers
+                  FROM head_rows WHERE db = {db} AND slug IN ({among})""")
+    return f"WITH head_rows AS MATERIALIZED ({' UNION ALL '.join(tables)}) {' UNION ALL '.join(sections)}"
+
+
 def oracle_sql() -> dict[str, str]:
     checks = {f"{prefix}_{slug}": sql(slug) for slug in SLUGS for prefix, _, sql in FAMILIES}
     checks["entry_number_parts"] = (
@@ -286,4 +318,5 @@ def oracle_sql() -> dict[str, str]:
     )
     checks["report_status"] = _status_sql()
     checks["report_detail"] = _detail_sql()
+    checks["report_skipped"] = _skipped_sql()
     return {key: f"WITH {TABLES}\n SELECT * FROM ({sql})" for key, sql in checks.items()}
