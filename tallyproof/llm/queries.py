@@ -116,4 +116,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": oracle.OP2}
+    return oracle.oracle_sql()
