@@ -7,8 +7,10 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from tallyproof.operators.forms import COUNTED, RECORD, RECORDS, TIMES, record
+from tallyproof.operators.gaps import seq_gap
 from tallyproof.plans.checks import CHECKS
-from tallyproof.plans.domains import DOMAINS
+from tallyproof.plans.domains import BY_SLUG, DOMAINS
 from tallyproof.plans import report
 from tallyproof.plans.report import read_report, run_report
 from tallyproof.sources.registry import JdbcSource, ParquetSource, ReadSplit, Registry
@@ -283,3 +285,42 @@ class OtherColumns(TestdataSource):
 @pytest.mark.parametrize("check", CHECKS, ids=lambda check: check.key)
 def test_checks_need_only_the_columns_of_their_domain(spark, check):
     assert check.rows(OtherColumns(spark, SF), AS_OF).columns == check.rows(TestdataSource(spark, SF), AS_OF).columns
+
+
+def is_product(check):
+    return not check.domain.quantity.own if check.key.startswith("high_qty") else check.domain.gap.attach == "series"
+
+
+PRODUCTS = [check for check in CHECKS if check.key.split("_")[0] in ("seq", "high") and is_product(check)]
+
+
+@pytest.mark.parametrize("check", PRODUCTS, ids=lambda check: check.key)
+def test_products_are_counted_by_document_and_recorded_in_parts(spark, check):
+    source = SharedReads(TestdataSource(spark, "/root/testdata/sf0.01"))
+    rows = check.rows(source, AS_OF)
+    counted = check.rows(source, AS_OF, form=COUNTED)
+    found = counted.agg(F.sum(TIMES).alias("n"), F.count("*").alias("rows"), F.countDistinct("id").alias("ids")).first()
+    assert found.n == rows.count() > found.rows == found.ids
+    assert counted.drop(TIMES).columns == rows.columns and counted.drop(TIMES).exceptAll(rows).isEmpty()
+    records = check.rows(source, AS_OF, ordered=True, form=RECORDS)
+    assert records.columns == ["id", RECORD]
+    expected = rows.select("id", record("*").alias(RECORD))
+    assert records.exceptAll(expected).isEmpty() and expected.exceptAll(records).isEmpty()
+
+
+def test_status_is_the_same_with_and_without_rows(spark, sources, tmp_path):
+    checks = (CHECKS[0], CHECKS[11], CHECKS[20], CHECKS[28], CHECKS[35])
+    assert run_report(spark, sources, AS_OF, checks=checks).collect() == run_report(
+        spark, sources, AS_OF, str(tmp_path), checks=checks
+    ).collect()
+
+
+def test_parts_of_a_record_keep_odd_texts(spark, heads):
+    odd = 'A"\\\n\u0001é😀-'
+    documents = heads(*[{"entry_number": f"{odd}{n:04}", "is_retail_b2b_bill": None} for n in (1, 2, 5)])
+    branch = spark.createDataFrame([(1, None, 'x"y')], "id int, name string, domain string")
+    for slug in ("sale", "transfer_in", "transfer_out"):
+        rule = BY_SLUG[slug].gap
+        rows = seq_gap(documents, branch, AS_OF, rule).select("id", record("*").alias(RECORD))
+        records = seq_gap(documents, branch, AS_OF, rule, form=RECORDS)
+        assert sorted(records.collect()) == sorted(rows.collect()) and rows.count() == 6
