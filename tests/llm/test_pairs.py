@@ -155,6 +155,17 @@ def test_steps_of_any_width():
         assert ngram_join._values(values[0], len(values), packed).tolist() == values
 
 
+def test_pressed_values_are_smaller_and_come_back():
+    for width in (2, 4, 5, 8):
+        for n in (1, 7, 5000):
+            values = np.random.default_rng(n).bytes(width * n)
+            assert ngram_join._unpressed(ngram_join._pressed(values, n), n) == values
+    rng = np.random.default_rng(1)
+    steps = ngram_join._steps(np.cumsum(rng.exponential(1 << 24, 8192)).astype(np.uint64))
+    owners = rng.integers(0, 1000, 8192).astype("<u2").tobytes()
+    assert len(ngram_join._pressed(steps, 8192)) + len(ngram_join._pressed(owners, 8192)) < 0.82 * 6 * 8192
+
+
 @pytest.mark.parametrize("together,of_range,of_slice,bits", [(50, 20, 9, 13), (1 << 19, 1 << 22, 50, 50), (1, 1 << 22, 1 << 22, -40)])
 def test_blocks_of_any_size_lose_no_link(documents, monkeypatch, together, of_range, of_slice, bits):
     monkeypatch.setattr(ngram_join, "_TOGETHER", together)
