@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.llm import decontaminate, ngram_join, quality, secrets, sentence_pieces
+from tallyproof.llm.bits import without
 from tallyproof.llm.queries import PIECES
 from tallyproof.llm.stored import long_texts, release, settled
 
@@ -59,7 +60,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = docs.withColumn(row, own)
     found = settled(spark, lambda: ngram_join.jaccard_components(rows.select(row, "text"), key=row, like=LIKE))
     gone = found.filter(F.col("component_id") != F.col(row)).select(row).distinct()
-    kept = rows.join(gone, row, "left_anti")
+    kept = without(rows, gone, row)
     if unique:
         return kept.select(*names)
     again = found.filter("n_shingles > 0").groupBy(row).count().filter("count > 1").select(row)

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyproof.llm.columns import mix
@@ -87,3 +87,27 @@ def contains(bits: np.ndarray, hashes: np.ndarray, probes: int = 1) -> np.ndarra
     for bit in _places(hashes, len(bits) * 8, probes):
         found &= (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
     return found
+
+
+def may_be_in(bits: Broadcast, key: str, probes: int = 1) -> Column:
+    """Whether `key` may be one of those whose xxhash64 made the set. Python gets the hashes
+    only, the row stays where it is."""
+
+    @F.arrow_udf("boolean")
+    def found(hashes: pa.Array) -> pa.Array:
+        return pa.array(contains(bits.value, hashes.to_numpy(), probes))
+
+    return found(F.xxhash64(key))
+
+
+def wrongly(bits: np.ndarray, probes: int = 1) -> float:
+    """The share of other hashes that are found as well."""
+    return (int(np.bitwise_count(bits).sum()) / (8 * len(bits))) ** probes
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str, size: int = 26, probes: int = 2) -> DataFrame:
+    """The rows whose `key` is not in `gone` (key). Those that may be in it are joined, the
+    others stay where they are."""
+    bits = hash_bits(gone.select(F.xxhash64(key).alias("hash")), "hash", size, probes)
+    may_be_gone = may_be_in(bits, key, probes)
+    return rows.filter(~may_be_gone).unionByName(rows.filter(may_be_gone).join(gone, key, "left_anti"))

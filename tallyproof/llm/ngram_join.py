@@ -48,7 +48,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.bits import contains, hash_bits
+from tallyproof.llm.bits import contains, hash_bits, may_be_in, wrongly
 from tallyproof.llm.columns import mix, pieces, ragged, tally, window_starts, windows, words
 from tallyproof.llm.components import components
 from tallyproof.llm.stored import release, store
@@ -61,6 +61,7 @@ _RANGE = 1 << 26  # has about so many entries at most,
 _SLICE = 1 << 22  # and is held in slices of about so many
 _SPARE_BITS = 15  # a hash agrees wrongly once in 2 ** 15
 _ID_BITS, _TOKEN_BITS, _PROBES = 26, 26, 2
+_IN_VAIN = 1 / 16  # texts that may be taken for suspects wrongly
 FREQUENT = 1 << 18  # shingles whose frequencies are broadcast, 16 bytes each
 _MAP = [f"m{i}" for i in range(8)]  # 64 bits each
 
@@ -346,21 +347,20 @@ def suspected(texts: DataFrame, like: Likeness, shingles: int) -> DataFrame:
     return dealt.mapInArrow(_in_common, "mark bigint").distinct()
 
 
-def _members(batches, bits: Broadcast) -> Iterator[pa.RecordBatch]:
-    for piece in pieces(batches):
-        inside = contains(bits.value, piece.column(2).to_numpy(), _PROBES)
-        yield piece.filter(pa.array(inside)).select(["id", "text"])
+def _thinned(texts: DataFrame, ids: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """Those of `texts` (id, text) whose id may be in `ids` (id), chosen where they lie by a bit
+    set of fixed size: a text that is not needed is not moved. And the set."""
+    bits = hash_bits(ids.select(F.xxhash64("id").alias("hash")), "hash", _ID_BITS, _PROBES)
+    return texts.filter(may_be_in(bits, "id", _PROBES)), bits
 
 
 def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of `texts` (id, text) whose id is in `ids` (id). Most others are dropped where
-    they lie, by a bit set of fixed size."""
-    kind = dict(texts.dtypes)["id"]
-    bits = hash_bits(ids.select(F.xxhash64("id").alias("hash")), "hash", _ID_BITS, _PROBES)
-    some = texts.filter("id IS NOT NULL").withColumn("hash", F.xxhash64("id"))
-    found = store(
-        some.mapInArrow(lambda b: _members(b, bits), f"id {kind}, text string").join(ids, "id", "left_semi")
-    )
+    """The rows of `texts` (id, text) whose id is in `ids` (id), and few others, which take part
+    in vain. Only if the set is so full that these are not few is there a join."""
+    found, bits = _thinned(texts.filter("id IS NOT NULL"), ids)
+    if wrongly(bits.value, _PROBES) > _IN_VAIN:
+        found = found.join(ids, "id", "left_semi")
+    found = store(found)
     bits.destroy()
     return found
 
@@ -482,12 +482,16 @@ def _alike(batches, like: Likeness) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
-    """Those of `pairs` (a, b) that are linked, by their whole sets."""
+    """Those of the stored `pairs` (a, b) that are linked, by their whole sets; stored as well.
+    Only texts of pairs are shuffled."""
     kind = dict(pairs.dtypes)["a"]
+    texts, bits = _thinned(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")))
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(lambda batches: _alike(batches, like), f"a {kind}, b {kind}")
+    found = store(both.mapInArrow(lambda batches: _alike(batches, like), f"a {kind}, b {kind}"))
+    bits.destroy()
+    return found
 
 
 def links(texts: DataFrame, like: Likeness) -> DataFrame:
@@ -514,7 +518,7 @@ def links(texts: DataFrame, like: Likeness) -> DataFrame:
     led = prefix.alias("p").join(leader.alias("l"), "key").filter("p.id <> l.id")
     stars = led.filter(_may_link(like, "p", "l")).select(F.col("p.id").alias("a"), F.col("l.id").alias("b"))
     stars = store(_close(_ordered(stars), maps, like))
-    found = store(_verified(stars, texts, like))
+    found = _verified(stars, texts, like)
     known = components(found)
     placed = prefix.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     heads = leader.select("key", "id").join(known, "id", "left").select(
@@ -532,7 +536,7 @@ def links(texts: DataFrame, like: Likeness) -> DataFrame:
     rest = store(_ordered(rest).join(stars, ["a", "b"], "left_anti"))
     release(strays)
     release(prefix, placed, stars, maps)
-    more = store(_verified(rest, texts, like))
+    more = _verified(rest, texts, like)
     release(rest)
     return found.unionByName(more)
 

@@ -39,3 +39,13 @@ def extra(odd):
 
     names = ["id", "row", "key", "n", "ids", "found", "label", "score", "fold", "size", "text_a", "k", "part", "a.b"]
     return odd.select("*", *[F.lit(f"own {name}").alias(name) for name in names])
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins with both sides shuffled, however short they are."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)

@@ -20,7 +20,7 @@ import corpus_pipeline
 from tallyproof.llm import labelled, quality, queries, secrets, toxicity
 from tallyproof.llm.stored import intermediates, release
 from tallyproof.sources.shared import shared_folder
-from tests.llm.test_pairs import classes
+from tests.llm.test_pairs import classes, moved, unlike
 
 SF = "/root/testdata/sf0.01"
 
@@ -213,6 +213,14 @@ def test_stages_take_odd_rows(spark, odd, extra):
                 assert sorted(str(r.doc_id) for r in out.collect()) == sorted(["1", "2", "3", "4", "5", "7", "8", "8", "9", "None", "None"])
 
 
+def test_near_duplicates_shuffle_only_texts_that_may_go(spark, documents, shuffled):
+    rows = unlike(100)
+    rows += [(100 + i, rows[i][1] + " end") for i in range(5)]
+    kept = corpus_pipeline.near_duplicate_stage(spark, documents(rows), SF)
+    assert 0 < moved(kept) < 8 * len(rows[0][1])
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(100))
+
+
 def test_near_duplicates_of_rows_that_share_an_id(spark, documents):
     text = " ".join(f"w{i}" for i in range(30))
     other = " ".join(f"x{i}" for i in range(30))

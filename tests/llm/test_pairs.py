@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 
-from tallyproof.llm import ngram_join, substring_dedup
+from tallyproof.llm import bits, ngram_join, substring_dedup
 from tallyproof.llm.components import components
 from tests.llm.samples import corpus
 
@@ -178,6 +178,57 @@ def test_blocks_of_any_size_lose_no_link(documents, monkeypatch, together, of_ra
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == classes(rows)
 
 
+def moved(frame):
+    """Bytes of the rows with a text that a frame's shuffles write."""
+    frame.collect()
+
+    def of(node):
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return of(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            return of(node.plan())
+        own = node.nodeName() == "Exchange" and "text" in node.output().mkString(" ")
+        below = node.children()
+        return sum(of(below.apply(i)) for i in range(below.size())) + (node.metrics().apply("dataSize").value() if own else 0)
+
+    return of(frame._jdf.queryExecution().executedPlan())
+
+
+def unlike(count, seed=3, words=300):
+    rng = random.Random(seed)
+    return [(i, " ".join(f"w{rng.randrange(1 << 40)}" for _ in range(words))) for i in range(count)]
+
+
+def test_only_texts_of_pairs_are_shuffled(documents, monkeypatch, shuffled):
+    rows = unlike(100)
+    rows.append((100, rows[7][1] + " end"))
+    texts = documents(rows).selectExpr("doc_id AS id", "text")
+    sizes, store = [], ngram_join.store
+    monkeypatch.setattr(ngram_join, "store", lambda frame: (sizes.append(moved(frame)), store(frame))[1])
+    chosen = ngram_join.texts_of(texts, texts.filter("id >= 30").select("id"))
+    assert sum(sizes) == 0 and chosen.filter("id >= 30").count() == 71 and chosen.count() < 75
+    found = ngram_join.links(texts, ngram_join.Likeness()).collect()
+    assert [tuple(row) for row in found] == [(100, 7)]
+    assert 0 < sum(sizes) < 6 * len(rows[7][1])
+
+
+def test_no_link_is_lost_where_suspects_are_joined(documents, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_IN_VAIN", -1)
+    rows = corpus(2)
+    got = ngram_join.jaccard_components(documents(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == classes(rows)
+
+
+def test_rows_without_some_keys(spark, documents):
+    rows = documents([*unlike(60, words=3), (None, "no id"), (5, "again")])
+    gone = spark.createDataFrame([(i,) for i in (*range(0, 60, 7), 1000, None)], "doc_id bigint")
+    want = sorted(map(str, rows.join(gone, "doc_id", "left_anti").collect()))
+    for size in (19, 26):
+        assert sorted(map(str, bits.without(rows, gone, "doc_id", size).collect())) == want
+    full = spark.range(1 << 17).selectExpr("id - 5 AS doc_id")
+    assert [r.text for r in bits.without(rows, full, "doc_id", 19, 1).collect()] == ["no id"]
+
+
 def test_no_link_is_lost_at_the_border(documents):
     # Sets of 40 shingles (43 words); each changed word at the end costs one shingle.
     base = [f"w{i}" for i in range(43)]
