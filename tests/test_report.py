@@ -7,6 +7,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from tallyproof.operators.forms import COUNTED, RECORD, RECORDS, TIMES, record
 from tallyproof.operators.gaps import seq_gap
 from tallyproof.plans.checks import CHECKS
@@ -53,6 +54,29 @@ def test_a_failing_check_does_not_stop_the_others(spark, sources):
     assert rows[3].row_count > 0 and rows[3].message is None
 
 
+def test_a_report_that_is_to_be_whole_fails_with_its_sections(spark, sources):
+    checks = (replace(CHECKS[1], build=failing), replace(CHECKS[2], build=failing_late), CHECKS[20])
+    with pytest.raises(report.ReportFailed, match="2 of 3") as raised:
+        run_report(spark, sources, AS_OF, checks=checks, whole=True)
+    assert f"RMS {CHECKS[1].sheet} {CHECKS[1].title}: no such table" in str(raised.value)
+    rows = run_report(spark, sources, AS_OF, checks=(CHECKS[20],), whole=True).collect()
+    assert [row.status for row in rows] == ["ROWS"]
+
+
+def test_report_detail_fails_with_a_section(spark, monkeypatch):
+    class Broken(TestdataSource):
+        def _derive(self, name):
+            if name.endswith("head") and name != CHECKS[20].domain.head:
+                raise OSError("no such table")
+            return super()._derive(name)
+
+    monkeypatch.setattr(contract, "_sources", lambda spark, sf_dir: Registry({"RMS": Broken(spark, sf_dir, "RMS")}))
+    before = set(os.listdir(shared_folder(spark)))
+    with pytest.raises(report.ReportFailed, match="no such table"):
+        contract.queries()["report_detail"](spark, SF)
+    assert set(os.listdir(shared_folder(spark))) == before
+
+
 def test_thirty_six_checks_in_order():
     assert len(CHECKS) == 36
     assert [check.sheet for check in CHECKS[::4]] == [
