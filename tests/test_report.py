@@ -348,3 +348,74 @@ def test_parts_of_a_record_keep_odd_texts(spark, heads):
         rows = seq_gap(documents, branch, AS_OF, rule).select("id", record("*").alias(RECORD))
         records = seq_gap(documents, branch, AS_OF, rule, form=RECORDS)
         assert sorted(records.collect()) == sorted(rows.collect()) and rows.count() == 6
+
+
+class Tables:
+    """A source of given tables."""
+
+    def __init__(self, **tables):
+        self.table = tables.__getitem__
+
+
+@pytest.fixture(scope="module")
+def products(spark, heads, items):
+    """A source whose series and branches have far more pairs than rows: odd texts, a branch
+    that comes three times, a document that comes twice, numbers and purchases of no branch."""
+    odd = 'A"\\\n\u0001é😀-'
+    numbers = [{"entry_number": f"{odd}{n * 9:04}", "is_retail_b2b_bill": n % 2 == 0, "id": n % 39} for n in range(40)]
+    numbers += [{"branch_id": branch, "entry_number": f"B-{n:04}"} for branch in (2, None, 99) for n in (1, 30)]
+    bought = heads(*[{"branch_id": branch} for branch in (1, 2, None, 99)])
+    lines = [(1 + n % 4, "1.00", None, None, None, 6000 + n, n % 3) for n in range(60)]
+    rows = [(1, "North", None), (1, "North", None), (1, None, 'x"y'), (2, "South", "south.example")]
+    documents = heads(*numbers)
+    return Tables(
+        database_branch=spark.createDataFrame(rows, "id int, name string, domain string"),
+        database_purchasehead=bought,
+        database_purchaseitem=items(BY_SLUG["purchase"].quantity.items, *lines),
+        **{check.domain.head: documents for check in PRODUCTS},
+    )
+
+
+def test_a_folded_report_has_the_same_rows_and_does_not_store_them(spark, products, tmp_path, either_join):
+    plain, folded = str(tmp_path / "plain"), str(tmp_path / "folded")
+    # A plain section of an earlier run goes as well.
+    for path, kind in ((plain, False), (folded, False), (folded, True)):
+        status = run_report(
+            spark, Registry({"X": products}), AS_OF, path, generated_at=datetime(2024, 3, 6), checks=PRODUCTS, folded=kind
+        ).collect()
+        if path == plain:
+            expected_status = status
+    assert status == expected_status and {row.status for row in status} == {"ROWS"}
+    expected, found = read_report(spark, plain), read_report(spark, folded)
+    assert found.columns == expected.columns and found.count() == sum(row.row_count for row in status) > 20_000
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+    fields = ("branch_name", "missing_entry_number", "entry_number", "sum_of_pq_pf", "nothing")
+    for title in {check.title for check in PRODUCTS}:
+        wanted = expected.filter(F.col("check_title") == title).select("*", F.json_tuple("record", *fields).alias(*fields))
+        shown = read_report(spark, folded, fields=fields, check_title=title)
+        assert shown.columns == wanted.columns
+        assert shown.exceptAll(wanted).isEmpty() and wanted.exceptAll(shown).isEmpty()
+    stored = sum(spark.read.option("recursiveFileLookup", True).parquet(f"{folded}/_folded/{side}").count() for side in ("heads", "beside"))
+    assert stored < 0.1 * found.count()
+
+
+def test_a_folded_section_that_fails_keeps_no_rows_of_an_earlier_run(spark, products, tmp_path):
+    path, sources = str(tmp_path), Registry({"X": products})
+    run_report(spark, sources, AS_OF, path, checks=(PRODUCTS[0], PRODUCTS[-1]), folded=True)
+    left = read_report(spark, path, check_title=PRODUCTS[-1].title).count()
+    assert left and read_report(spark, path).count() > left
+    run_report(spark, sources, AS_OF, path, checks=(replace(PRODUCTS[0], build=failing),), folded=True)
+    assert read_report(spark, path).count() == left
+
+
+def test_report_detail_stores_the_sides_of_products_only(spark, products, monkeypatch):
+    monkeypatch.setattr(contract, "_sources", lambda spark, sf_dir: Registry({"X": products}))
+    run = contract.run_report
+    monkeypatch.setattr(contract, "run_report", lambda *args, **how: run(*args, **how, checks=PRODUCTS))
+    before = set(os.listdir(shared_folder(spark)))
+    rows = contract.queries()["report_detail"](spark, SF)
+    (kept,) = [name for name in set(os.listdir(shared_folder(spark))) - before if name.startswith("report-")]
+    stored = 0
+    for folder, _, files in os.walk(f"{shared_folder(spark)}/{kept}"):
+        stored += sum(spark.read.parquet(f"{folder}/{name}").count() for name in files if name.endswith(".parquet"))
+    assert rows.count() > 20_000 and 0 < stored < 0.1 * rows.count()
